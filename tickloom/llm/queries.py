@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup, token_count, url_filter
+from . import line_dedup, telephony, token_count, url_filter, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
+    "op2_telephony": telephony.op2_telephony,
     "op3_url_filter": url_filter.op3_url_filter,
     "op5_token_count": token_count.op5_token_count,
     "op6_line_dedup": line_dedup.op6_line_dedup,
