@@ -2,8 +2,8 @@
 
 Two passes over the texts. The first sends one row per distinct long line and document to a count per hash, after partial
 aggregation, so a line that a third of all documents hold reaches its reducer as one row per task. The second joins the
-surviving hashes (a few of all) back to the exploded lines; a hot hash on the exploded side is what the adaptive skew join
-splits, as the other side has one row for it. Dropped positions are collected per document, whose length bounds them.
+surviving hashes (a few of all) back to the exploded lines; those hashes are copied SALTS times, so that the lines of a hot
+one are dealt among as many tasks. Dropped positions are collected per document, whose length bounds them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, ascii_lower, fresh
 
+#: Copies of each repeated hash, among which its lines are dealt.
+SALTS = 32
+
 
 def line_key(line: Column) -> Column:
     """A line's identity: blanks stripped at both ends, A-Z lower-cased."""
@@ -35,7 +38,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the line; a row with a null id has no place in the order: its lines neither count nor go; other columns pass through,
     those named n_lines or n_dropped are replaced.
     """
-    text, lines, digest, h, n, last, drops, pos, line = fresh(docs, "text", "lines", "digest", "h", "n", "last", "drops", "pos", "line")
+    text, lines, digest, h, n, last, drops, pos, line, salt = fresh(docs, "text", "lines", "digest", "h", "n", "last", "drops", "pos", "line", "salt")
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     long = lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= min_chars
     known = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= min_chars))
@@ -46,17 +49,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .groupBy(F.col(f"{h}.a").alias("a"), F.col(f"{h}.b").alias("b"))
         .agg(F.count(F.lit(1)).alias(n), F.max(last).alias(last))
         .where(F.col(n) >= min_docs)
-        .drop(n)
+        .select("a", "b", last, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt))
     )
     text_digest = F.struct(F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit("text"), F.col(text_col)).alias("b"))
     places = (
         known.select(F.col(id_col).alias(text), text_digest.alias(digest), F.posexplode(split).alias(pos, line))
         .where(long(F.col(line)))
         .select(text, digest, pos, _hashes(line_key(F.col(line))).alias(h))
-        .select(text, digest, pos, F.col(f"{h}.a").alias("a"), F.col(f"{h}.b").alias("b"))
+        .select(text, digest, pos, F.col(f"{h}.a").alias("a"), F.col(f"{h}.b").alias("b"), F.pmod(F.xxhash64(text, pos), F.lit(SALTS)).cast("int").alias(salt))
     )
     gone = (
-        places.join(repeated, ["a", "b"])
+        places.join(repeated, ["a", "b", salt])
         .where(F.col(text) < F.col(last))
         .groupBy(F.col(text), F.col(digest))
         .agg(F.collect_set(pos).alias(drops))
