@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, telephony, token_count, url_filter, warc
+from . import decontaminate, line_dedup, telephony, token_count, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
     "op5_token_count": token_count.op5_token_count,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
     "op3_url_filter": url_filter.OP3_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
+    "op10_decontamination": decontaminate.OP10_SQL,
 }
