@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, telephony, token_count, url_filter, warc
+from . import decontaminate, line_dedup, simhash, telephony, token_count, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
     "op5_token_count": token_count.op5_token_count,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op7_simhash": simhash.op7_simhash,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
