@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, simhash, telephony, token_count, url_filter, warc
+from . import decontaminate, line_dedup, packing, simhash, telephony, token_count, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_token_count": token_count.op5_token_count,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
+    "op8_packing": packing.op8_packing,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
