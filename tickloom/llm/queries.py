@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, packing, simhash, telephony, token_count, url_filter, warc
+from . import decontaminate, line_dedup, packing, quality, simhash, telephony, token_count, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_packing": packing.op8_packing,
+    "op9_quality": quality.op9_quality,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
