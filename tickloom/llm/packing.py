@@ -9,14 +9,16 @@ keeps sequences that could hold more, however many shards the corpus needs.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,50 +27,64 @@ from .common import fresh, written
 #: Pieces packed in one task, and tokens left in a sequence beyond which it is packed again with those of other shards.
 SHARD_PIECES, OPEN_TOKENS = 16_384, 16
 #: Words whose ids a worker remembers (a cache only), and characters of text handled at once.
-CACHE, CHUNK_CHARS = 400_000, 1 << 20
-#: How vocabularies of this family cut normalised text (fixed value), and the same for ASCII.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+CACHE, CHUNK_CHARS = 800_000, 1 << 20
+#: Up to this character, normalising is lower-casing alone. The control characters are blanks to some libraries only.
+LATIN = "\u017f"
+NOT_PLAIN = re.compile("[^\0-\x1b -" + LATIN + "]")
+
+
+def word_pattern(last: str) -> re.Pattern:
+    """How vocabularies of this family cut normalised text, for characters up to last: contractions, runs of letters, single
+    numbers, runs of what is neither nor blank."""
+    of = {"L": "", "N": ""}
+    for c in map(chr, range(ord(last) + 1)):
+        if (kind := unicodedata.category(c)[0]) in of:
+            of[kind] += c
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of['L']}]+|[{of['N']}]|[^{of['L']}{of['N']}\t-\r \x85\xa0]+")
+
+
+class Words(dict):
+    """Word to ids (little-endian 32 bits); a word that isn't there is asked from the library's model."""
+
+    def __init__(self, tool):
+        self.model = tool.model
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        spare = iter(range(256, 512))
+        self.shown = {b: b if b in shown else next(spare) for b in range(256)}
+
+    def __missing__(self, word: str) -> bytes:
+        bytewise = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.shown)
+        self[word] = ids = array("I", [t.id for t in self.model.tokenize(bytewise)]).tobytes()
+        return ids
 
 
 class WordIds:
     """The ids that the library gives for texts, as little-endian 32-bit words.
 
-    Up to U+024F, normalising is lower-casing alone and words don't influence each other, so a word's ids are asked from the
-    library once and remembered; texts with other characters or special strings go to the library whole.
+    Up to U+017F, words don't influence each other: a word's ids are asked from the library's model once and remembered.
+    Texts with other characters or special strings go to the library whole.
     """
 
     def __init__(self, file: str):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(file)
-        self.cut, self.ascii_cut = regex.compile(PATTERN), re.compile(ASCII_PATTERN, re.ASCII)
-        special = [re.escape(t.content) for t in self.tool.get_added_tokens_decoder().values()]
-        self.other = re.compile("|".join(["[^\0-ɏ]", *special]))
-        self.ids: dict[str, bytes] = {}
+        self.ascii_cut, self.cut = word_pattern("\x7f"), word_pattern(LATIN)
+        self.special = [t.content for t in self.tool.get_added_tokens_decoder().values()]
+        self.ids = Words(self.tool)
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tool.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        words: dict[int, list[str]] = {}
-        whole = []
-        for i, t in enumerate(texts):
-            if self.other.search(t):
-                whole.append(i)
-            else:
-                words[i] = (self.ascii_cut if t.isascii() else self.cut).findall(t.lower())
         if len(self.ids) > CACHE:
             self.ids.clear()
-        new = list(set().union(*words.values()) - self.ids.keys())
-        self.ids.update(zip(new, self.library(new)))
-        for i, found in words.items():
-            out[i] = b"".join(map(self.ids.__getitem__, found))
-        for i, ids in zip(whole, self.library([texts[i] for i in whole])):
-            out[i] = ids
+        out, get = [], self.ids.__getitem__
+        for t in texts:
+            if NOT_PLAIN.search(t) or any(s in t for s in self.special):
+                out += self.library([t])
+            else:
+                out.append(b"".join(map(get, (self.ascii_cut if t.isascii() else self.cut).findall(t.lower()))))
         return out
 
 
