@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..errors import BAD_FIELD, BAD_NUMBER, BAD_TS, SCALE_OVERFLOW, UNKNOWN_SYMBOL
+from ..errors import BAD_FIELD, BAD_TS, UNKNOWN_SYMBOL
 from ..functions import fixed
 from ..functions.symbols import SYMBOLS, gid_of
-from ..operators.rejects import first_reason
+from ..sources.records import encoded
 
 HOUR = 3600 * 10**9
 
@@ -46,21 +46,10 @@ def chunk_of_time() -> Column:
 
 def books(rows: DataFrame) -> DataFrame:
     """rows as one-level book records: the bid is px, the ask px with a trailing 5. Adds reason, lid and encoded levels."""
-    px = fixed.encode_group(F.array("px", F.concat("px", F.lit("5"))))
-    qty = fixed.encode_group(F.array("qty", "qty"))
-    out = rows.withColumns({"lid": gid_of(F.col("symbol")), "_px": px, "_qty": qty})
-    reason = first_reason([
-        (UNKNOWN_SYMBOL, F.col("lid").isNull()),
-        (BAD_NUMBER, F.col("_px.status") == fixed.BAD_NUMBER),
-        (SCALE_OVERFLOW, F.col("_px.status") == fixed.SCALE_OVERFLOW),
-        (BAD_NUMBER, F.col("_qty.status") == fixed.BAD_NUMBER),
-        (SCALE_OVERFLOW, F.col("_qty.status") == fixed.SCALE_OVERFLOW),
-    ])
-    level = lambda group, k: F.get(F.col(f"{group}.mantissas"), F.lit(k))
-    return out.withColumns({
-        "reason": reason, "price_scale": F.col("_px.scale"), "qty_scale": F.col("_qty.scale"),
-        "bid_px": level("_px", 0), "ask_px": level("_px", 1), "bid_qty": level("_qty", 0), "ask_qty": level("_qty", 1),
-    }).drop("_px", "_qty")
+    rows = rows.withColumn("lid", gid_of(F.col("symbol")))
+    level = lambda group, k: F.get(group["mantissas"], F.lit(k))
+    fields = lambda px, qty: {"bid_px": level(px, 0), "ask_px": level(px, 1), "bid_qty": level(qty, 0), "ask_qty": level(qty, 1)}
+    return encoded(rows, F.array("px", F.concat("px", F.lit("5"))), F.array("qty", "qty"), [(UNKNOWN_SYMBOL, F.col("lid").isNull())], fields)
 
 
 def spoiled(rows: DataFrame) -> DataFrame:
@@ -76,20 +65,9 @@ def spoiled(rows: DataFrame) -> DataFrame:
 
 def trades(rows: DataFrame) -> DataFrame:
     """Text rows as trades: reason of the first failed check, gid, and px and qty each at a scale of its own."""
-    out = rows.withColumns({
-        "gid": gid_of(F.col("symbol")), "_ts": fixed.to_i64(F.col("ts")), "_side": fixed.to_i64(F.col("side")),
-        "_px": fixed.encode_group(F.array("px")), "_qty": fixed.encode_group(F.array("qty")),
-    })
-    reason = first_reason([
-        (BAD_TS, F.col("_ts").isNull()),
-        (BAD_FIELD, F.col("_side").isNull() | ~F.col("_side").isin(0, 1)),
-        (UNKNOWN_SYMBOL, F.col("gid").isNull()),
-        (BAD_NUMBER, F.col("_px.status") == fixed.BAD_NUMBER),
-        (SCALE_OVERFLOW, F.col("_px.status") == fixed.SCALE_OVERFLOW),
-        (BAD_NUMBER, F.col("_qty.status") == fixed.BAD_NUMBER),
-        (SCALE_OVERFLOW, F.col("_qty.status") == fixed.SCALE_OVERFLOW),
-    ])
-    return out.withColumns({
-        "reason": reason, "px_m": F.get(F.col("_px.mantissas"), F.lit(0)), "px_scale": F.col("_px.scale"),
-        "qty_m": F.get(F.col("_qty.mantissas"), F.lit(0)), "qty_scale": F.col("_qty.scale"),
-    }).drop("_px", "_qty", "_ts", "_side")
+    rows = rows.withColumns({"gid": gid_of(F.col("symbol")), "_ts": fixed.to_i64(F.col("ts")), "_side": fixed.to_i64(F.col("side"))})
+    side = F.col("_side").isNull() | ~F.col("_side").isin(0, 1)
+    first = lambda group: F.get(group["mantissas"], F.lit(0))
+    checks = [(BAD_TS, F.col("_ts").isNull()), (BAD_FIELD, side), (UNKNOWN_SYMBOL, F.col("gid").isNull())]
+    out = encoded(rows, F.array("px"), F.array("qty"), checks, lambda px, qty: {"px_m": first(px), "qty_m": first(qty)})
+    return out.withColumnRenamed("price_scale", "px_scale").drop("_ts", "_side")
