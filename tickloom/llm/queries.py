@@ -16,6 +16,7 @@ QUERIES = {
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 SQL = {
+    "op1_warc": warc.OP1_SQL,
     "op3_url_filter": url_filter.OP3_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,

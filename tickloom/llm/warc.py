@@ -291,3 +291,15 @@ def op1_warc(spark, sf_dir: str) -> DataFrame:
     stored = written(write_archives(pages), "warc", compression="none")
     return read_archives(stored, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
+
+
+#: Base32 from the hexadecimal digest: each five hexadecimal digits are four characters.
+OP1_SQL = """
+WITH h AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+v AS (SELECT page_id, n, hex, list_transform(range(8), lambda i: CAST('0x' || hex[5 * i + 1 : 5 * i + 5] AS INT)) AS parts FROM h),
+d AS (SELECT page_id, n, hex, array_to_string(list_transform(range(32), lambda k:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((parts[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31) + 1]), '') AS digest FROM v),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to FROM f
+"""
