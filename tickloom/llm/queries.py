@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, packing, quality, simhash, telephony, token_count, url_filter, warc
+from . import decontaminate, language_id, line_dedup, packing, quality, simhash, telephony, token_count, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_telephony": telephony.op2_telephony,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_language_id": language_id.op4_language_id,
     "op5_token_count": token_count.op5_token_count,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
