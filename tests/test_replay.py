@@ -7,7 +7,7 @@ import time
 import pytest
 
 from tickloom.errors import Error, ReplayError, SegmentState
-from tickloom.operators.segments import HEADERS, Header, Segments, segment_check
+from tickloom.operators.segments import HEADERS, Header, Segments, segment_bytes, segment_check
 from tickloom.plans import cli, config
 from tickloom.plans.replay import run
 from tickloom.streaming.paced import PacedReplay, Stopper
@@ -125,6 +125,7 @@ def test_ring_wraps_and_lapped_reader(spark, tmp_path):
 
 
 def test_segment_checks():
+    assert [segment_bytes(x) for x in ("bbo", "depth", "trade")] == [2048, 12416, 262272]
     want = HEADERS["bbo"]
     change = lambda **k: segment_check(Header(**{**want.__dict__, **k}), want)
     assert [change(), change(magic=1, kind=9), change(layout_version=1), change(kind=2), change(capacity=1), change(schema_hash="0"), change(created_ns=5)] == [

@@ -43,6 +43,14 @@ DEPTH_FIELDS = ["depth", *BBO_FIELDS]
 TRADE_FIELDS = ["exch_ns", "px", "qty", "gid", "side", "price_scale", "qty_scale"]
 
 
+def segment_bytes(layout: str) -> int:
+    """Bytes that a segment of this layout takes as a memory image: a header and aligned lines of 64 bytes. Boards keep an
+    8-byte id for each slot besides, logs a line with their head."""
+    h = HEADERS[layout]
+    rest = 8 * h.capacity if h.kind == BOARD else 64
+    return -(-(64 + h.entry_size * h.capacity + rest) // 64) * 64
+
+
 def segment_check(found: Header, want: Header) -> SegmentState:
     """The first difference, in order of weight; a different field description alone is drift, which may be let pass."""
     for differs, state in (

@@ -98,7 +98,7 @@ class PacedReplay:
             if batch == 0 or not due.isEmpty():
                 self._write(unit, due.drop("due_ns"), batch == 0 and unit.plan.output.create)
         if self.cfg.progress_sec > 0 and time.monotonic() - self.last_log >= self.cfg.progress_sec:
-            log.info("replay: book=%d trade=%d", self.report.book, self.report.trade)
+            log.info("replay: book=%d trade=%d skipped=%d to=%d (%.0f ev/s)", self.report.book, self.report.trade, sum(self.report.skipped.values()), self.ts0 + int(entry["to"] / (self.cfg.realtime or 1)), self.report.events_per_sec())
             self.last_log = time.monotonic()
         return entry["to"] >= self.end
 
