@@ -73,7 +73,7 @@ def tables(spark, seed):
     return docs, items
 
 
-@pytest.mark.parametrize("seed,pass_bytes,shard_bytes", [(1, 1 << 20, 1 << 20), (2, 1, 1 << 20), (3, 60, 200)])
+@pytest.mark.parametrize("seed,pass_bytes,shard_bytes", [(1, 1 << 20, 1 << 20), (2, 150, 1 << 20), (3, 40, 200)])
 def test_against_brute_force(spark, seed, pass_bytes, shard_bytes):
     docs, items = tables(spark, seed)
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ _CUT = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes of documents to a shard, and distance of sampled suffix positions.
 SHARD_BYTES, SAMPLE = 16 << 20, 8
-#: Bytes of benchmark texts searched in one pass; a larger benchmark takes more passes.
-PASS_BYTES = 32 << 20
+#: Bytes of benchmark texts in a part, and parts that one pass over the documents holds; a larger benchmark takes more passes.
+PASS_BYTES, PASS_PARTS = 32 << 20, 4
 
 
 def words(text: bytes) -> list[bytes]:
@@ -205,23 +206,21 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-@lru_cache(maxsize=4)
-def _phrases(key: str, window: int, shared) -> Phrases:
+@lru_cache(maxsize=PASS_PARTS)
+def _phrases(shared: Broadcast, window: int) -> Phrases:
+    """One for each worker process and part: a worker keeps a broadcast variable from task to task."""
     return Phrases(shared.value, window)
 
 
-def benchmark_passes(items: DataFrame, id_col: str, text_col: str, limit: int = PASS_BYTES) -> list[list[tuple[int | None, bytes]]]:
-    """The benchmark's texts in parts of about limit bytes, in any order. A benchmark is a published set that doesn't grow with
-    the corpus; its parts are fetched one row at a time, and each is searched in a pass of its own."""
-    parts, size = [[]], 0
-    rows = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
-    for item, text in rows.toLocalIterator():
-        if parts[-1] and size + len(text) > limit:
-            parts.append([])
-            size = 0
-        parts[-1].append((item, bytes(text)))
-        size += len(text)
-    return parts
+def benchmark_passes(items: DataFrame, id_col: str, text_col: str, limit: int = PASS_BYTES) -> list[Broadcast]:
+    """The benchmark's texts in parts of about limit bytes by hash, as broadcast variables. The size is known before anything
+    is fetched, and the driver fetches one part at a time."""
+    rows = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-total // limit))
+    context = items.sparkSession.sparkContext
+    of = F.pmod(F.xxhash64("text"), F.lit(parts))
+    return [context.broadcast([(r.id, bytes(r.text)) for r in rows.where(of == k).collect()]) for k in range(parts)]
 
 
 def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, cut: bool = False) -> DataFrame:
@@ -234,7 +233,6 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     independent, of any length. Empty tables: no documents, or nothing found. Other columns pass through, those named like
     results are replaced.
     """
-    spark = docs.sparkSession
     results = ["n_words", "n_hit", "item_ids", "spans"]
     keep = [c for c in docs.columns if c not in results and c != text_col]
     raw, was_spans, was_items = fresh(docs, "raw", "spans", "items")
@@ -245,26 +243,26 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     n = len(keep)
     span_arrow = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
 
-    def searcher(part, last: bool):
-        shared, key = spark.sparkContext.broadcast(part), f"{id(part)}-{len(part)}-{window}"
-
+    def searcher(held: list[Broadcast], last: bool):
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases = _phrases(key, window, shared)
             for batch in batches:
                 size, first = 0, 0
                 for i in range(batch.num_rows):
                     size += len(batch.column(n)[i].as_buffer() or b"")
                     if size >= shard_bytes or i == batch.num_rows - 1:
-                        yield shard(batch.slice(first, i + 1 - first), phrases)
+                        yield shard(batch.slice(first, i + 1 - first))
                         size, first = 0, i + 1
 
-        def shard(batch: pa.RecordBatch, phrases: Phrases) -> pa.RecordBatch:
+        def shard(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(n).to_pylist()
-            counts, spans, items = shard_matches([t or b"" for t in texts], phrases)
-            spans = [list(zip(a.tolist(), b.tolist())) for a, b in spans]
-            for i, (old, ids) in enumerate(zip(batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist())):
-                spans[i] = _merge([*spans[i], *((s["first"], s["after"]) for s in old or [])])
-                items[i].update(ids or [])
+            spans = [[(s["first"], s["after"]) for s in old or []] for old in batch.column(n + 1).to_pylist()]
+            items = [set(ids or []) for ids in batch.column(n + 2).to_pylist()]
+            for part in held:
+                counts, found, names = shard_matches([t or b"" for t in texts], _phrases(part, window))
+                for i, (a, b) in enumerate(found):
+                    if len(a):
+                        spans[i] = _merge([*spans[i], *zip(a.tolist(), b.tolist())])
+                        items[i] |= names[i]
             if last and cut:
                 texts = [t and cut_spans(t, s) for t, s in zip(texts, spans)]
             columns = [*batch.columns[:n], pa.array(texts, pa.binary()), pa.array([[{"first": a, "after": b} for a, b in s] for s in spans], span_arrow), pa.array([sorted(s) for s in items], pa.list_(pa.int64())), pa.array(counts, pa.int64())]
@@ -272,8 +270,8 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
 
         return search
 
-    for k, part in enumerate(passes):
-        at = at.mapInArrow(searcher(part, k == len(passes) - 1), schema)
+    for k in range(0, len(passes), PASS_PARTS):
+        at = at.mapInArrow(searcher(passes[k : k + PASS_PARTS], k + PASS_PARTS >= len(passes)), schema)
     text = F.col(raw).cast("string")
     hit = F.aggregate(was_spans, F.lit(0).cast("long"), lambda s, x: s + x["after"] - x["first"])
     passed = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in results]
