@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,21 +24,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_folders: dict[str, SparkSession] = {}
+
+
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: its lineage ends there, so a lost executor costs no recomputation."""
+    """df written as Parquet in the shared folder and read again: its lineage ends there, so a lost executor costs no recomputation.
+    The folder goes when it is removed() or the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tickloom/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    _folders[path] = spark
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that written() returned and nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, folder)
+
+
+@atexit.register
+def _clear() -> None:
+    for folder, spark in _folders.items():
+        if spark.sparkContext._jsc is None:
+            return  # stopped already; what is left is the shared folder's owner's to clear
+        try:
+            _delete(spark, folder)
+        except Exception:  # the session may be going down at the same time
+            return
 
 
 def ascii_lower(text: Column) -> Column:

@@ -126,9 +126,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
     sums = texts.select("lang", "text").mapInArrow(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    counts: dict[str, np.ndarray] = {}
-    for lang, bucket, n in sums.collect():  # at most LANGUAGES x BUCKETS
-        counts.setdefault(lang, np.zeros(BUCKETS))[bucket] = n
+    table = sums.toPandas()  # at most LANGUAGES x BUCKETS rows of numbers
+    counts = {lang: np.bincount(own["bucket"], own["n"], BUCKETS) for lang, own in table.groupby("lang")}
     return model_of(counts)
 
 
