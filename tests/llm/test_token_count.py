@@ -26,6 +26,12 @@ def test_any_text(texts):
     assert TOOL.count(texts) == library(texts)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=50), max_size=8))
+def test_any_latin_text(texts):
+    assert TOOL.count(texts) == library(texts)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="abtheinr '\n.<|>endoftx", max_size=80), max_size=8))
 def test_merging(texts):

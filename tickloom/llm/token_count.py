@@ -9,6 +9,8 @@ and the rounds agree with merging one pair at a time.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,10 +25,25 @@ from .common import fresh
 #: How byte-level vocabularies of this family cut text before merging (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text whose pre-tokens are held at once, and pre-tokens whose counts a worker remembers (a cache only).
-CHUNK_CHARS, CACHE = 1 << 20, 1 << 20
-#: Below it all assigned characters have had their class since before either library's tables; texts with others are cut by
-#: the tokenizer's own pre-tokenizer.
+CHUNK_CHARS, CACHE = 1 << 20, 1 << 19
+#: Up to this character, explicit classes of Python's own (faster) pattern engine say the same.
+LATIN = "\u024f"
+NOT_LATIN = re.compile(f"[^\0-{LATIN}]")
+#: Characters outside these ranges may have got their class in one library's tables and not in the other's; texts with such
+#: are cut by the tokenizer's own pre-tokenizer.
 SETTLED = regex.compile(r"[^\x00-ɏЀ-ӿ‐-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
+
+
+def latin_pattern(last: str) -> re.Pattern:
+    """PATTERN with its classes spelled out, for texts of characters up to last."""
+    of = {"L": "", "N": ""}
+    for c in map(chr, range(ord(last) + 1)):
+        if (kind := unicodedata.category(c)[0]) in of:
+            of[kind] += c
+    letter, number, blank = of["L"], of["N"], "\\t-\\r \\x85\\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+")
+
+
 NONE = np.iinfo(np.int32).max
 
 
@@ -55,7 +72,7 @@ class Merger:
         self.keys, self.ranks, self.made = key[order], order.astype(np.int32), made
         self.special = [t["content"] for t in spec["added_tokens"] if t["special"]]
         self.special_cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.cut = regex.compile(PATTERN)
+        self.cut, self.latin_cut, self.ascii_cut = regex.compile(PATTERN), latin_pattern(LATIN), latin_pattern("\x7f")
         self.own = Tokenizer.from_file(file).pre_tokenizer
         self.counts: dict[str, int] = {}
 
@@ -91,6 +108,10 @@ class Merger:
         return out
 
     def pre_tokens(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.ascii_cut.findall(text)
+        if not NOT_LATIN.search(text):
+            return self.latin_cut.findall(text)
         if SETTLED.search(text):
             return [text[a:b] for _, (a, b) in self.own.pre_tokenize_str(text)]
         return self.cut.findall(text)
@@ -99,7 +120,7 @@ class Merger:
         """Tokens of each text; the texts of one call are held as pre-tokens together."""
         total, held = [0] * len(texts), []
         for i, text in enumerate(texts):
-            if self.special_cut and self.special_cut.search(text):
+            if any(x in text for x in self.special):
                 total[i] = len(self.special_cut.findall(text))
                 held += [(i, self.pre_tokens(part)) for part in self.special_cut.split(text) if part]
             elif text:
