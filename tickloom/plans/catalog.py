@@ -30,7 +30,7 @@ def _claimed(spark, sf_dir, windows=None, best=None) -> DataFrame:
 
 def bbo_board(spark, sf_dir):
     """The latest accepted one-level quote of each unit and symbol."""
-    good = books(ticks(spark, sf_dir)).where("reason IS NULL")
+    good = books(ticks(spark, sf_dir, heavy=True)).where("reason IS NULL")
     claimed = boards.claim(merge.emitted(good, WINDOWS, chunk_of_rows()), chunk=chunk_of_time())
     fields = ["bid_px", "bid_qty", "ask_px", "ask_qty", "price_scale", "qty_scale"]
     return boards.board(claimed, fields)
@@ -38,7 +38,7 @@ def bbo_board(spark, sf_dir):
 
 def board_latest(spark, sf_dir):
     """The same quotes without counters, by one aggregation."""
-    good = books(ticks(spark, sf_dir)).where("reason IS NULL")
+    good = books(ticks(spark, sf_dir, heavy=True)).where("reason IS NULL")
     return boards.latest(merge.emitted(good, WINDOWS, chunk_of_rows()), ["bid_px", "ask_px", "price_scale"])
 
 
@@ -116,11 +116,11 @@ def symbol_lookup(spark, sf_dir):
 
 
 def unknown_symbols(spark, sf_dir):
-    return rejects.unknown_symbols(books(ticks(spark, sf_dir)))
+    return rejects.unknown_symbols(books(ticks(spark, sf_dir, heavy=True)))
 
 
 def _trades(spark, sf_dir):
-    return trades(spoiled(ticks(spark, sf_dir)))
+    return trades(spoiled(ticks(spark, sf_dir, heavy=True)))
 
 
 def skip_counts(spark, sf_dir):

@@ -13,11 +13,20 @@ from ..sources.records import encoded
 HOUR = 3600 * 10**9
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """A scan dealt out anew if it has too few partitions to keep the session's cores busy, as a single small file has; any
+    larger input is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df._jdf.queryExecution().toRdd().getNumPartitions() <= cores else df
+
+
+def ticks(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """(src, unit, row_no, ts_ns, symbol, update_id, px, qty, side): a source for each event type, units of even and odd
-    sources, times that go back by up to four hours, ids that aren't monotone, three unknown names and one bad side in three."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    kinds = events.select("event_type").distinct().withColumn("src", (F.row_number().over(Window.orderBy("event_type")) - 1).cast("int"))
+    sources, times that go back by up to four hours, ids that aren't monotone, three unknown names and one bad side in three. heavy: much is worked out for each row."""
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = stored.select("event_id", "ts", "user_id", "event_type", "value", "props")
+    events = spread(events) if heavy else events
+    kinds = stored.select("event_type").distinct().withColumn("src", (F.row_number().over(Window.orderBy("event_type")) - 1).cast("int"))
     name = F.get(F.array(*map(F.lit, [*SYMBOLS, "UNK27", "UNK28", "UNK29"])), (F.col("user_id") % 30).cast("int"))
     return events.join(F.broadcast(kinds), "event_type").select(
         "src",
