@@ -25,7 +25,7 @@ from .common import fresh
 _CUT = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes of documents to a shard, and distance of sampled suffix positions.
-SHARD_BYTES, SAMPLE = 16 << 20, 8
+SHARD_BYTES, SAMPLE = 8 << 20, 8
 #: Bytes of benchmark texts in a part, and parts that one pass over the documents holds; a larger benchmark takes more passes.
 PASS_BYTES, PASS_PARTS = 32 << 20, 4
 
