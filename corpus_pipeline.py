@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, line_dedup, packing, quality, simhash
+from tickloom.llm import decontaminate, line_dedup, packing, quality, similar
 from tickloom.llm.common import fresh, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,11 +36,12 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id (of repeated rows one; of null ids alone one)."""
+    """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more): that with the smallest
+    id (of repeated rows one; of null ids alone one)."""
     row, first = fresh(docs, "row", "first")
     told = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     # Ids may repeat or be null, rows can't: the group's id picks candidates, the smallest row number decides among them.
-    grouped = written(simhash.group_near_copies(told.select("doc_id", row, "text")).drop("fingerprint"), "grouped")
+    grouped = written(similar.group_similar(told.select("doc_id", row, "text"), row), "grouped")
     lead = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min(row).alias(first))
     return told.join(lead.select(F.col(first).alias(row)), row, "left_semi").select(*docs.columns)
 
