@@ -1,9 +1,11 @@
 import struct
+import time
 
 import pytest
 import zstandard
 
 from tickloom.llm import warc as w
+from tickloom.llm.common import written
 
 
 def want(rows, least=0):
@@ -26,14 +28,33 @@ ROWS += [(100 + i, f"http://h/{i}", f"<p>text number {i % 40} " + f"of some page
 @pytest.mark.parametrize("least", [0, 7])
 def test_round_trip(spark, least):
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string")
-    archives = w.write_archives(df, least=least, archive_bytes=300_000).localCheckpoint()
-    assert any(struct.unpack_from("<I", r.content)[0] == w.DICT_MAGIC for r in archives.collect())
+    archives = written(w.write_archives(df, least=least, archive_bytes=300_000), "archives")
+    assert all(struct.unpack_from("<I", r.content)[0] == w.DICT_MAGIC for r in archives.collect())
     got = w.read_archives(archives).collect()
     assert all(r.record_error is None for r in got)
     assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == want(ROWS, least)
     assert {(r.page_id, bytes(r.payload).decode()) for r in got if r.record_type == "response"} <= {(i, h or "") for i, _, h in ROWS}
 
 
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_hot_payload_over_many_partitions(spark, broadcast):
+    """Half of all rows share a payload, in 211 partitions; digests broadcast or dealt by salt."""
+    rows = [(i, f"http://h/{i % 7}", "hot payload " * 50 if i % 2 else f"page {i % 300}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(211)
+    got = w.read_archives(w.write_archives(df, broadcast_digests=broadcast), payload=False).collect()
+    assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == want(rows)
+
+
+def test_many_small_frames_take_time_in_proportion():
+    body = [w.record(i, "u", b"x", 1, w.sha1_base32(b"x"), None) for i in range(20_000)]
+    archive = w.compress(body, w.dictionary(body[:3]))
+    began = time.perf_counter()
+    assert sum(1 for _ in w.frames(archive)) == 20_000
+    assert time.perf_counter() - began < 10
+    with pytest.raises(w.WarcError):
+        list(w.frames(archive, max_record=100))
+
+
 def test_query(spark, tmp_path):
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string").selectExpr("*", "1 AS size", "2 AS payload")
     df.write.parquet(f"{tmp_path}/pages.parquet")

@@ -14,6 +14,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
 
 
+#: Writer options for tables whose rows may be megabytes: row groups of 32 MB, sizes looked at from the first row on.
+LARGE_ROWS = {"parquet.block.size": str(32 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "100", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "100"}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which driver and executors share; a new one where none is set (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,7 +1,8 @@
 """WARC archives of Zstandard frames: one frame a record, the dictionary in a leading skippable frame.
 
 An archive is one value of a binary column, as spark.read.format("binaryFile") gives for files, so any store that Spark can
-read serves. The writer turns rows into archives of bounded size; save() puts such archives into files.
+read serves. The writer turns rows into archives of bounded size, all with the one dictionary of the write; save() puts such
+archives into files.
 """
 
 from __future__ import annotations
@@ -19,16 +20,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import LARGE_ROWS, fits, written
 
 #: Magic number of the skippable frame that holds a dictionary, and of a plain frame (fixed values, little-endian).
 DICT_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 #: Bytes of records before compression after which an archive ends; a single larger record makes a larger archive.
 ARCHIVE_BYTES = 8 << 20
-#: Bytes of the first records that a dictionary is trained on, and of the dictionary.
-SAMPLE_BYTES, DICT_BYTES = 512 << 10, 16 << 10
-#: Largest record that the reader expands; a frame header that states more is an error.
+#: Rows that the dictionary of a write is trained on, the bytes of each that count, and the bytes of the dictionary.
+SAMPLE_ROWS, SAMPLE_BYTES, DICT_BYTES = 256, 4 << 10, 16 << 10
+#: Largest record that the reader expands unless told otherwise; a frame header that states more is an error.
 MAX_RECORD = 1 << 30
+#: Bytes of an archive that the decoder gets at a time, so that what lies behind a frame is never copied as a whole.
+STEP = 64 << 10
+#: Digests of several rows (some 60 bytes each) up to which they are broadcast; more are dealt by digest and salt.
+BROADCAST_DIGESTS, SALTS = 100_000, 16
 #: Archives have no wall-clock time in them, so that equal input gives equal bytes.
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -71,30 +76,24 @@ def record(page_id: int | None, url: str | None, payload: bytes, size: int, dige
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def compress(records: list[bytes], level: int = 3) -> bytes:
-    """An archive: the dictionary (trained on the first records; none if they are too few to train on), then a frame a record."""
-    sample, size = [], 0
-    for r in records:
-        sample.append(r[: SAMPLE_BYTES - size])
-        size += len(sample[-1])
-        if size >= SAMPLE_BYTES:
-            break
-    trained = None
-    if len(sample) >= 16 and size >= 8 * DICT_BYTES:
-        try:
-            trained = zstandard.train_dictionary(DICT_BYTES, sample)
-        except zstandard.ZstdError:
-            trained = None  # samples too alike or too short: frames stand without
-    tool = zstandard.ZstdCompressor(level=level, dict_data=trained, write_content_size=True, write_checksum=True)
-    frames = [tool.compress(r) for r in records]
-    if trained is None:
-        return b"".join(frames)
-    packed = zstandard.ZstdCompressor(level=level).compress(trained.as_bytes())
-    return b"".join([struct.pack("<II", DICT_MAGIC, len(packed)), packed, *frames])
-
-
-def frames(archive: bytes) -> Iterator[bytes]:
-    """The content of each frame. WarcError where a frame is broken, cut off, or states no length or more than MAX_RECORD."""
+def dictionary(records: list[bytes]) -> bytes:
+    """A dictionary trained on records; where they are too few or too much alike, their first bytes as plain content."""
+    try:
+        return zstandard.train_dictionary(DICT_BYTES, records).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(records)[:DICT_BYTES]
+
+
+def compress(records: list[bytes], trained: bytes, level: int = 3) -> bytes:
+    """An archive: a skippable frame with the dictionary (itself compressed), then a frame a record."""
+    tool = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(trained), write_content_size=True, write_checksum=True)
+    packed = zstandard.ZstdCompressor(level=level).compress(trained)
+    return b"".join([struct.pack("<II", DICT_MAGIC, len(packed)), packed, *map(tool.compress, records)])
+
+
+def frames(archive: bytes, max_record: int = MAX_RECORD) -> Iterator[bytes]:
+    """The content of each frame. WarcError where a frame is broken, cut off, or states no length or more than max_record. The
+    archive is read once, in steps, so the time is in proportion to its bytes however many frames it has."""
     at, view, loaded = 0, memoryview(archive), None
     if len(archive) >= 8 and struct.unpack_from("<I", archive)[0] == DICT_MAGIC:
         size = struct.unpack_from("<I", archive, 4)[0]
@@ -103,7 +102,7 @@ def frames(archive: bytes) -> Iterator[bytes]:
         data, at = bytes(view[8 : 8 + size]), 8 + size
         if data[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary may be compressed itself
             try:
-                data = zstandard.ZstdDecompressor().decompress(data, max_output_size=MAX_RECORD)
+                data = zstandard.ZstdDecompressor().decompress(data, max_output_size=max_record)
             except zstandard.ZstdError as e:
                 raise WarcError(f"the dictionary can't be read: {e}") from None
         loaded = zstandard.ZstdCompressionDict(data)
@@ -119,15 +118,18 @@ def frames(archive: bytes) -> Iterator[bytes]:
             continue
         try:
             stated = zstandard.get_frame_parameters(view[at : at + 18]).content_size
-            if stated > MAX_RECORD:  # as an unknown size also is
+            if stated > max_record:  # as an unknown size also is
                 raise WarcError(f"frame states {stated} bytes")
-            one = tool.decompressobj()
-            content = one.decompress(view[at:])
+            one, parts, fed = tool.decompressobj(), [], at
+            while not one.eof and fed < len(archive):
+                parts.append(one.decompress(view[fed : fed + STEP]))
+                fed = min(fed + STEP, len(archive))
         except zstandard.ZstdError as e:
             raise WarcError(f"frame at {at}: {e}") from None
+        content = b"".join(parts)
         if not one.eof or len(content) != stated:
             raise WarcError(f"frame at {at} is cut off")
-        at = len(archive) - len(one.unused_data)
+        at = fed - len(one.unused_data)
         yield content
 
 
@@ -179,7 +181,9 @@ def read_record(content: bytes) -> dict:
     return {"page_id": number("x-page-id"), "url": headers.get("warc-target-uri"), "record_type": kind, "payload_bytes": size, "payload_digest": digest, "refers_to": number("x-refers-to-page-id"), "payload": payload}
 
 
-def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def write_archives(
+    df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, archive_bytes: int = ARCHIVE_BYTES, broadcast_digests: int = BROADCAST_DIGESTS
+) -> DataFrame:
     """Archives (column content) with a record for each row.
 
     Of rows with equal payloads of at least `least` bytes, that with the smallest id is a response, the others revisit it;
@@ -187,14 +191,25 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     smallest id (repeated rows), or have only null ids, are all responses. A null URL leaves out its header; one with spaces
     or control characters is percent-encoded. Other columns are not written; an empty table gives no archives.
 
-    The smallest id per digest comes from a partial aggregation. Payloads are shuffled once, to meet it, and a digest that
-    many rows share is split by the adaptive skew join; revisits drop their payload before Python sees it.
+    Digests of several rows and their smallest ids come from a partial aggregation without payloads and are written. Up to
+    broadcast_digests of them are broadcast, and payloads stay in the tasks that read them. More are joined by digest and
+    salt, so that a digest which a third of all rows share meets its rows in SALTS tasks. Revisits drop their payload before
+    Python sees it. Every archive of a write begins with the same dictionary, trained on SAMPLE_ROWS rows.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary")).alias("payload"))
-    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload")})
+    nothing = F.lit("").cast("binary")
+    rows = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("binary"), nothing).alias("payload"))
+    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha1": F.unhex(F.sha1("payload"))})
+    some = rows.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size", "sha1").limit(SAMPLE_ROWS).collect()
+    blank = record(None, None, b"", 0, sha1_base32(b""), None)
+    trained = dictionary([blank, *(record(r.page_id, r.url, bytes(r.payload), r.size, base64.b32encode(r.sha1).decode(), None) for r in some)])
     # Only digests with several rows have anything to say.
-    firsts = rows.where(F.col("size") >= least).groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    dealt = rows.join(firsts, "sha1", "left")
+    firsts = rows.where(F.col("size") >= least).groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL")
+    firsts = written(firsts.select("sha1", "first"), "warc-firsts")
+    if fits(firsts, broadcast_digests):
+        dealt = rows.join(F.broadcast(firsts), "sha1", "left")
+    else:
+        copies = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(copies.hint("merge"), ["sha1", "salt"], "left")
     again = F.when((F.col("size") >= least) & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))), F.col("first"))
     dealt = dealt.select("page_id", "url", "size", "sha1", again.alias("refers_to"), F.when(again.isNull(), F.col("payload")).alias("payload"))
 
@@ -203,24 +218,25 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
         for batch in batches:
             for i in range(batch.num_rows):
                 page_id, url, n, sha1, refers_to, payload = (batch.column(k)[i].as_py() for k in range(6))
-                held.append(record(page_id, url, payload or b"", n, base64.b32encode(bytes.fromhex(sha1)).decode(), refers_to))
+                held.append(record(page_id, url, payload or b"", n, base64.b32encode(sha1).decode(), refers_to))
                 size += len(held[-1])
                 if size >= archive_bytes:
-                    yield pa.RecordBatch.from_arrays([pa.array([compress(held)], pa.binary())], names=["content"])
+                    yield pa.RecordBatch.from_arrays([pa.array([compress(held, trained)], pa.binary())], names=["content"])
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([compress(held)], pa.binary())], names=["content"])
+            yield pa.RecordBatch.from_arrays([pa.array([compress(held, trained)], pa.binary())], names=["content"])
 
     return dealt.mapInArrow(made, "content binary")
 
 
-def read_archives(df: DataFrame, content_col: str = "content", payload: bool = True) -> DataFrame:
+def read_archives(df: DataFrame, content_col: str = "content", payload: bool = True, max_record: int = MAX_RECORD) -> DataFrame:
     """A row for each record of the archives in content_col: page_id, url, record_type, payload_bytes, payload_digest,
     refers_to, payload (if asked for; null for revisits) and record_error.
 
     A record that fails validation is a row with record_error and nothing else; where a frame is broken, the rest of its
-    archive can't be found and one such row stands for it. Null or empty archives have no records. Other columns of df
-    (a file's path, say) are repeated on each row, those named like results are replaced.
+    archive can't be found and one such row stands for it; so does one for a record that states over max_record bytes.
+    Archives without a leading dictionary are read as plain frames. Null or empty archives have no records. Other columns of
+    df (a file's path, say) are repeated on each row, those named like results are replaced.
     """
     kinds = {"page_id": "long", "url": "string", "record_type": "string", "payload_bytes": "long", "payload_digest": "string", "refers_to": "long", **({"payload": "binary"} if payload else {}), "record_error": "string"}
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
@@ -231,7 +247,7 @@ def read_archives(df: DataFrame, content_col: str = "content", payload: bool = T
 
     def records(archive: bytes) -> Iterator[dict]:
         try:
-            for content in frames(archive):
+            for content in frames(archive, max_record):
                 try:
                     yield read_record(content)
                 except WarcError as e:
@@ -288,7 +304,7 @@ def save(archives: DataFrame, uri: str) -> None:
 def op1_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # Frames are compressed already.
-    stored = written(write_archives(pages), "warc", compression="none")
+    stored = written(write_archives(pages), "warc", compression="none", **LARGE_ROWS)
     return read_archives(stored, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
