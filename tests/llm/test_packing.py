@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickloom.llm import packing as p
@@ -106,3 +107,35 @@ def test_empty_and_too_long(spark):
     assert out.count() == 0 and out.columns == ["doc_id", "_row", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     with pytest.raises(ValueError):
         p.pack(spark.createDataFrame([(5,)], "length long"), 4)
+
+
+def test_pieces_over_half_a_sequence_end_in_bounded_shards(spark, monkeypatch):
+    """200,000 pieces of 2,100 tokens, of which no two share a sequence, and few short ones: no shard holds more than its share,
+    levels end, and there are no more sequences than long pieces."""
+    lengths = [2100] * 200_000 + [300] * 500
+    parts = spark.range(len(lengths)).select("id", F.when(F.col("id") < 200_000, 2100).otherwise(300).cast("long").alias("length")).repartition(8)
+    seen = []
+    real = p.written
+    monkeypatch.setattr(p, "written", lambda df, name, **o: (seen.append(name), real(df, name, **o))[1])
+    got = p.pack(parts, shard_pieces=2_000).toPandas()
+    assert seen.count("placed") <= p.LEVELS
+    assert len(got) == len(lengths) and got["sequence_id"].nunique() == 200_000
+    largest = got.assign(shard=got["sequence_id"] // (1 << p.SEQUENCE_BITS)).groupby("shard").size().max()
+    assert largest < 1.2 * 2_000
+    used = got.sort_values(["sequence_id", "offset"])
+    ends = used["offset"] + used["length"]
+    start = used["sequence_id"] != used["sequence_id"].shift()
+    assert (used["offset"][start] == 0).all() and (used["offset"][~start] == ends.shift()[~start]).all() and ends.max() <= 4096
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_numbers_differ_between_levels_and_shards(spark, seed):
+    """Lengths of all kinds in very small shards: many levels, and each sequence's pieces lie end to end."""
+    rng = np.random.default_rng(seed)
+    lengths = np.r_[rng.integers(1, 4097, 800), rng.integers(1900, 2300, 800)].tolist()
+    got = p.pack(spark.createDataFrame([(int(n),) for n in lengths], "length long"), shard_pieces=40).toPandas()
+    assert sorted(got["length"]) == sorted(lengths)
+    for _, own in got.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert own["offset"].tolist() == (own["length"].cumsum() - own["length"]).tolist() and own["length"].sum() <= 4096
+    assert got["sequence_id"].nunique() <= 1.12 * sum(lengths) / 4096 + 1 or got["sequence_id"].nunique() <= 1.02 * len(p.sum_of_squares(np.sort(lengths)[::-1].astype(np.int64), 4096)[2])

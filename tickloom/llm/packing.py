@@ -2,9 +2,9 @@
 
 Documents become token ids and, beyond the length of a sequence, pieces. Pieces are dealt into shards of about SHARD_PIECES;
 a task packs a shard, longest first: each piece goes where the sum over all residual gaps of the squared number of open
-sequences with that gap becomes smallest. Sequences with over OPEN_TOKENS left at the end of a shard are opened again: their
-pieces go to the next level, which has about a tenth of the pieces, until one shard is left. So only the last, small shard
-keeps sequences that could hold more, however many shards the corpus needs.
+sequences with that gap becomes smallest. Sequences that could still hold the shortest piece around, and have over OPEN_TOKENS
+left, are opened again: their pieces go to the next level, dealt anew into shards of the same size. Levels end when one shard
+held all, when packing anew saves less than GAIN of the sequences, or after LEVELS; shards never grow.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ from .common import fresh, written
 
 #: Pieces packed in one task, and tokens left in a sequence beyond which it is packed again with those of other shards.
 SHARD_PIECES, OPEN_TOKENS = 16_384, 16
+#: Levels at most, and the share of its sequences that a level must save for another to follow.
+LEVELS, GAIN = 8, 0.01
+#: Bits of a sequence's number that count sequences of a shard, and shards of a level; the level stands above.
+SEQUENCE_BITS, SHARD_BITS = 24, 32
 #: Words whose ids a worker remembers (a cache only), and characters of text handled at once.
 CACHE, CHUNK_CHARS = 400_000, 1 << 20
 #: Up to this character, normalising is lower-casing alone. The control characters are blanks to some libraries only.
@@ -170,12 +174,13 @@ def sum_of_squares(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarr
     return sequence, offset, np.array(gaps, np.int64)
 
 
-def _packer(row: str, room: int, level: int, last: bool, open_tokens: int):
+def _packer(row: str, room: int, level: int, shortest: int, open_tokens: int):
     def packed(key, pdf):
         pdf = pdf.sort_values(["length", row], ascending=[False, True], kind="stable")
         sequence, offset, gaps = sum_of_squares(pdf["length"].to_numpy(), room)
-        number = (level << 56) + (int(key[0]) << 20) + sequence
-        return pd.DataFrame({row: pdf[row].to_numpy(), "length": pdf["length"].to_numpy(), "sequence_id": number, "offset": offset, "settled": last | (gaps[sequence] <= open_tokens)})
+        number = (level << SHARD_BITS + SEQUENCE_BITS) + (int(key[0]) << SEQUENCE_BITS) + sequence
+        full = gaps[sequence] < max(shortest, open_tokens + 1)
+        return pd.DataFrame({row: pdf[row].to_numpy(), "length": pdf["length"].to_numpy(), "sequence_id": number, "offset": offset, "settled": full})
 
     return packed
 
@@ -184,33 +189,40 @@ def pack(parts: DataFrame, room: int = 4096, shard_pieces: int = SHARD_PIECES, o
     """parts (with column length, none above room) with sequence_id and offset (place in the sequence, gapless from 0).
 
     Pieces are told apart by a row number given when they are written, so repeated rows, null or hot ids make no large shard.
-    Equal lengths are placed in row order. An empty table gives an empty table; a length above room is an error.
+    Equal lengths are placed in row order. An empty table gives an empty table; a length above room is an error. A task holds
+    about shard_pieces pieces at every level.
     """
+    if not 0 < shard_pieces < 1 << SEQUENCE_BITS - 1:
+        raise ValueError(f"shards of {shard_pieces} pieces")
     (row,) = fresh(parts, "row")
     names = [c for c in parts.columns if c not in ("sequence_id", "offset")]
     now = written(parts.select(*names).withColumn(row, F.monotonically_increasing_id()), "pieces")
-    count, longest = now.agg(F.count(F.lit(1)), F.max("length")).first()
+    count, longest, shortest = now.agg(F.count(F.lit(1)), F.max("length"), F.min("length")).first()
     if longest is not None and longest > room:
         raise ValueError(f"a piece of {longest} tokens doesn't fit into {room}")
-    light = now.select(row, "length")
-    done, level = [], 0
-    while count:
+    light, done, before, opened = now.select(row, "length"), [], None, 0
+    for level in range(LEVELS):
+        if not count:
+            break
         shards = -(-count // shard_pieces)
-        last = shards == 1
         shard = F.pmod(F.xxhash64(row, F.lit(level)), F.lit(shards))
-        placed = light.groupBy(shard.alias("shard")).applyInPandas(_packer(row, room, level, last, open_tokens), f"{row} long, length long, sequence_id long, offset long, settled boolean")
+        placed = light.groupBy(shard.alias("shard")).applyInPandas(_packer(row, room, level, shortest, open_tokens), f"{row} long, length long, sequence_id long, offset long, settled boolean")
         placed = written(placed, "placed")
-        done.append(placed.where("settled").select(row, "sequence_id", "offset"))
-        light, level = placed.where("NOT settled").select(row, "length"), level + 1
-        # A shard that leaves everything open would go on for ever; from the second level on, shards get larger too.
-        left = light.count()
-        shard_pieces, count = (shard_pieces if left < count // 2 else 2 * shard_pieces), left
+        made, left, first, low = placed.agg(F.count_if(F.col("offset") == 0), F.count_if(~F.col("settled")), F.count_if(F.expr("NOT settled AND offset = 0")), F.min(F.when(~F.col("settled"), F.col("length")))).first()
+        if before is not None and made >= opened:
+            done.append(before.where("NOT settled"))  # packing anew saved nothing: the pieces stay where they were
+            break
+        if shards == 1 or level == LEVELS - 1 or before is not None and made > (1 - GAIN) * opened:
+            done.append(placed)
+            break
+        done.append(placed.where("settled"))
+        before, opened, light, count, shortest = placed, first, placed.where("NOT settled").select(row, "length"), left, low
     if not done:
         return now.drop(row).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     places = done[0]
     for more in done[1:]:
         places = places.unionByName(more)
-    return now.join(places, row).drop(row)
+    return now.join(places.select(row, "sequence_id", "offset"), row).drop(row)
 
 
 def assemble(packed: DataFrame) -> DataFrame:
