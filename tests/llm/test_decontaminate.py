@@ -57,12 +57,54 @@ def test_index_locates(sample):
     index = d.FMIndex(text, 3, sample)
     for n in (1, 2, 4):
         patterns = r.integers(1, 4, (40, n))
-        which, low, high = index.search(patterns)
+        which, low, high = index.search(patterns.ravel(), np.arange(40) * n, n)
         got = {int(k): sorted(index.locate(np.arange(a, b)).tolist()) for k, a, b in zip(which, low, high)}
         want = {k: [i for i in range(len(text) - n + 1) if (text[i : i + n] == p).all()] for k, p in enumerate(patterns)}
         assert got == {k: v for k, v in want.items() if v}
 
 
+def test_window_classes():
+    r = np.random.default_rng(5)
+    ids = r.integers(1, 4, 300)
+    for n in (1, 2, 3, 7, 10):
+        starts = np.flatnonzero(r.random(300 - n + 1) < 0.8)
+        classes, windows = d.window_classes(ids, starts, n), [tuple(ids[s : s + n]) for s in starts]
+        assert len(set(zip(classes.tolist(), windows))) == len(set(classes.tolist())) == len(set(windows))
+
+
+def test_long_runs_are_cut_with_overlap():
+    r = random.Random(6)
+    text = " ".join(r.choice("abc") for _ in range(900))
+    items = [(str(i), " ".join(r.choice("abc") for _ in range(n))) for i, n in enumerate((3, 5, 6, 7, 30))]
+    phrases = d.Phrases([(i, t.encode()) for i, t in items], 6)
+    for size in (50, 10**6):
+        counts, spans, names = d.shard_matches([text.encode(), b"", text.encode()[:99]], phrases, index_words=size)
+        n, hit, found, places = brute(text, items, 6)
+        assert counts.tolist() == [900, 0, 50] and sorted(names[0]) == found
+        assert {p for a, b in zip(*spans[0]) for p in range(a, b)} == places and len(places) == hit
+
+
+def test_text_ids(spark):
+    items = spark.createDataFrame([("b", "one two"), ("a", "two three"), (None, "x")], "item_id string, text string")
+    out = d.find_spans(spark.createDataFrame([("one two three x",)], "text string"), items, window=2).first()
+    assert out.item_ids == ["a", "b"] and out.n_hit == 4
+
+
+def test_memory_of_a_pass():
+    """The windows of 8 MB of benchmark take little more room than its words."""
+    import tracemalloc
+
+    r = random.Random(7)
+    vocab = [f"word{i}" for i in range(50_000)]
+    items = [(str(i), " ".join(r.choices(vocab, k=100)).encode()) for i in range(8_500)]
+    assert 7e6 < sum(len(t) for _, t in items) < d.PASS_BYTES
+    tracemalloc.start()
+    held = d.Phrases(items, 10)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held.least == 10 and now < 60e6 and peak < 150e6
+
+
 def tables(spark, seed):
     r = random.Random(seed)
     vocab = ["Alpha", "beta", "gamma", "Straße", "é", "42", "zeta"]

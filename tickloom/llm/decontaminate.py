@@ -5,6 +5,9 @@ so a shard's text is its runs of known words, each closed by a separator of its
 a wavelet matrix of the Burrows-Wheeler transform and sampled suffix positions. All test phrases (windows of the benchmark's
 items) are searched backwards at once through wavelet ranks, occurrences are located by stepping back to a sampled position,
 and the word spans they cover are merged.
+
+A pass over the documents holds the items of PASS_BYTES of benchmark, as word ids end to end; a window is a place in them. A
+larger benchmark takes more passes, whose results are written between them.
 """
 
 from __future__ import annotations
@@ -19,39 +22,67 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import LARGE_ROWS, fresh, removed, written
 
 #: Words are runs of other bytes than these, after A-Z are lower-cased (fixed by the definition of a word).
 _CUT = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes of documents to a shard, and distance of sampled suffix positions.
 SHARD_BYTES, SAMPLE = 8 << 20, 8
-#: Bytes of benchmark texts in a part, and parts that one pass over the documents holds; a larger benchmark takes more passes.
-PASS_BYTES, PASS_PARTS = 32 << 20, 4
+#: Words of one index (a longer run of known words is cut into overlapping ones), and windows that are searched at once.
+INDEX_WORDS, SEARCHED = 2 << 20, 1 << 18
+#: Bytes of benchmark texts that one pass over the documents holds.
+PASS_BYTES = 8 << 20
 
 
 def words(text: bytes) -> list[bytes]:
     return text.translate(_CUT).split()
 
 
+def window_classes(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Equal numbers for equal windows of n ids at starts: ranks of runs of 1, 2, 4, ... ids are put together."""
+    rank, size, done, key = ids.astype(np.int64), 1, 0, np.zeros(len(starts), np.int64)
+    while True:
+        if n & size:
+            key = np.unique(key * (int(rank.max()) + 1) + rank[starts + done], return_inverse=True)[1]
+            done += size
+        if done == n:
+            return key
+        after = np.zeros_like(rank)
+        after[:-size] = rank[size:] + 1
+        rank, size = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1], 2 * size
+
+
 class Phrases:
-    """The windows of a set of items, as arrays of word ids by length, and the items of each."""
+    """The different windows of a set of items: `text` has the items' word ids end to end, patterns by length the places of
+    windows in it, and owners of a window (by its number) are items."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.ids: dict[bytes, int] = {}
-        self.items: list[list[int]] = []
-        by_length: dict[int, dict[tuple[int, ...], int]] = {}
-        for item, text in items:
-            known = [self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)]
-            n = min(window, len(known))
-            for i in range(len(known) - n + 1 if n else 0):
-                at = by_length.setdefault(n, {}).setdefault(tuple(known[i : i + n]), len(self.items))
-                if at == len(self.items):
-                    self.items.append([])
-                if item is not None and item not in self.items[at]:
-                    self.items[at].append(item)
-        self.patterns = {n: (np.array(list(p), np.int64).reshape(-1, n), np.array(list(p.values()), np.int64)) for n, p in sorted(by_length.items())}
-        self.least = min(by_length, default=0)
+        rows = [np.fromiter((self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)), np.int32) for _, text in items]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        self.text = np.concatenate([*rows, np.zeros(1, np.int32)])
+        self.names = [name for name, _ in items]
+        begin, length = np.cumsum(sizes) - sizes, np.minimum(sizes, window)
+        self.patterns: dict[int, tuple[np.ndarray, int]] = {}
+        self.owners, self.first_owner = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        for n in np.unique(length[length > 0]).tolist():
+            item = np.flatnonzero(length == n)
+            count = sizes[item] - n + 1
+            starts = np.arange(int(count.sum())) + np.repeat(begin[item] - (np.cumsum(count) - count), count)
+            number = window_classes(self.text, starts, n)
+            pairs = np.unique(number * len(items) + np.repeat(item, count))
+            number_of, one = np.unique(number, return_index=True)
+            self.patterns[n] = starts[one], len(self.first_owner) - 1
+            owned = np.bincount(pairs // len(items), minlength=len(number_of))
+            self.first_owner = np.r_[self.first_owner, self.first_owner[-1] + np.cumsum(owned)]
+            self.owners = np.r_[self.owners, (pairs % len(items)).astype(np.int32)]
+        self.least = min(self.patterns, default=0)
+
+    def items(self, pattern: int) -> list[str]:
+        """Names of the items that have a window, null ones left out."""
+        own = self.owners[self.first_owner[pattern] : self.first_owner[pattern + 1]].tolist()
+        return [self.names[i] for i in own if self.names[i] is not None]
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -111,16 +142,16 @@ class FMIndex:
         sampled = (place - np.maximum.accumulate(np.where(start, place, 0))) % sample == 0
         self.position = np.where(sampled[order], order, -1)
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of patterns (rows of word ids) those that occur, and their intervals in the suffix order."""
-        which, last = np.arange(len(patterns)), patterns[:, -1]
+    def search(self, words: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of patterns (`length` word ids of words at each start) those that occur, and their intervals in the suffix order."""
+        which, last = np.arange(len(starts)), words[starts + length - 1]
         low, high = self.before[last], self.before[last + 1]
-        for k in range(patterns.shape[1] - 2, -2, -1):
+        for k in range(length - 2, -2, -1):
             found = low < high
             which, low, high = which[found], low[found], high[found]
             if k < 0 or not len(which):
                 break
-            symbol = patterns[which, k]
+            symbol = words[starts[which] + k].astype(np.int64)
             low, high = (self.before[symbol] + self.tree.rank(symbol, x) for x in (low, high))
         return which, low, high
 
@@ -138,12 +169,12 @@ class FMIndex:
         return out
 
 
-def shard_matches(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[set[int]]]:
+def shard_matches(texts: list[bytes], phrases: Phrases, index_words: int = INDEX_WORDS) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[set[str]]]:
     """Of each text of a shard: its number of words, merged spans (starts, ends) of word places, and the items found."""
     get, rows = phrases.ids.get, [words(t) for t in texts]
     counts = np.array([len(r) for r in rows], np.int64)
     spans = [(np.zeros(0, np.int64),) * 2 for _ in texts]
-    items: list[set[int]] = [set() for _ in texts]
+    items: list[set[str]] = [set() for _ in texts]
     if not phrases.least or not counts.sum():
         return counts, spans, items
     ends = np.cumsum(counts + 1)  # each document is followed by a word that nothing knows
@@ -156,23 +187,34 @@ def shard_matches(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, lis
     starts, stops = starts[long], stops[long]
     if not len(starts):
         return counts, spans, items
-    # The runs, each with the 0 that follows it, laid end to end.
-    sizes = stops - starts + 1
-    offset = np.cumsum(sizes) - sizes
-    source = np.arange(int(sizes.sum())) + np.repeat(starts - offset, sizes)
-    index = FMIndex(ids[source], len(phrases.ids))
+    # Long runs become several that overlap by a word less than the longest window.
+    shared = max(phrases.patterns) - 1
+    parts = np.maximum(1, -(-(stops - starts - shared) // index_words))
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    starts, stops = np.repeat(starts, parts) + nth * index_words, np.repeat(stops, parts)
+    stops = np.minimum(stops, starts + index_words + shared)
+    sizes = stops - starts + 1  # each run has a 0 after it
+    group = (np.cumsum(sizes) - 1) // index_words
     hit = np.zeros(len(ids) + 1, np.int64)
-    for n, (patterns, numbers) in phrases.patterns.items():
-        which, low, high = index.search(patterns)
-        total = high - low
-        rows_at = np.arange(int(total.sum())) + np.repeat(low - (np.cumsum(total) - total), total)
-        place = source[index.locate(rows_at)]
-        np.add.at(hit, place, 1)
-        np.add.at(hit, place + n, -1)
-        doc = np.searchsorted(ends, place, side="right")
-        pairs = np.unique(np.c_[doc, np.repeat(numbers[which], total)], axis=0)
-        for d, p in pairs.tolist():
-            items[d].update(phrases.items[p])
+    found: list[np.ndarray] = []
+    for g in np.unique(group).tolist():
+        own, first = sizes[group == g], starts[group == g]
+        source = np.arange(int(own.sum())) + np.repeat(first - (np.cumsum(own) - own), own)
+        text = ids[source]
+        text[np.cumsum(own) - 1] = 0
+        index = FMIndex(text, len(phrases.ids))
+        for n, (windows, number) in phrases.patterns.items():
+            for at in range(0, len(windows), SEARCHED):
+                which, low, high = index.search(phrases.text, windows[at : at + SEARCHED], n)
+                total = high - low
+                rows_at = np.arange(int(total.sum())) + np.repeat(low - (np.cumsum(total) - total), total)
+                place = source[index.locate(rows_at)]
+                np.add.at(hit, place, 1)
+                np.add.at(hit, place + n, -1)
+                if len(place):
+                    found.append(np.unique(np.c_[np.searchsorted(ends, place, side="right"), np.repeat(number + at + which, total)], axis=0))
+    for d, pattern in np.unique(np.concatenate(found), axis=0).tolist() if found else []:
+        items[d].update(phrases.items(pattern))
     covered = np.cumsum(hit[:-1]) > 0
     edge = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
     starts, stops = edge[0::2], edge[1::2]  # the separating word after each document keeps spans apart
@@ -206,44 +248,40 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-@lru_cache(maxsize=PASS_PARTS)
+@lru_cache(maxsize=1)
 def _phrases(shared: Broadcast, window: int) -> Phrases:
-    """One for each worker process and part: a worker keeps a broadcast variable from task to task."""
+    """One for each worker process and pass: a worker keeps a broadcast variable from task to task."""
     return Phrases(shared.value, window)
 
 
-def benchmark_passes(items: DataFrame, id_col: str, text_col: str, limit: int = PASS_BYTES) -> list[Broadcast]:
-    """The benchmark's texts in parts of about limit bytes by hash, as broadcast variables. The size is known before anything
-    is fetched, and the driver fetches one part at a time."""
-    rows = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // limit))
-    context = items.sparkSession.sparkContext
-    of = F.pmod(F.xxhash64("text"), F.lit(parts))
-    return [context.broadcast([(r.id, bytes(r.text)) for r in rows.where(of == k).collect()]) for k in range(parts)]
-
-
 def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, cut: bool = False) -> DataFrame:
     """docs with n_words, n_hit (words inside an occurrence of a window), item_ids (of items with occurring windows, sorted)
     and spans (merged: first word, word after the last). With cut, text_col has those spans taken out.
 
     A window is `window` consecutive words of an item; an item of fewer words, but not none, is one window. A null text has
     no words and stays null; an item with null text or no words has no windows; the windows of an item with a null id are
-    found, but there is no id to name; repeated items name their id once. Repeated documents are searched each; documents are
-    independent, of any length. Empty tables: no documents, or nothing found. Other columns pass through, those named like
-    results are replaced.
+    found, but there is no id to name; repeated items name their id once. Ids may be of any type that a cast to text and back
+    keeps. Repeated documents are searched each; documents are independent, of any length. Empty tables: no documents, or
+    nothing found. Other columns pass through, those named like results are replaced.
+
+    A pass over the documents broadcasts about pass_bytes of the benchmark, dealt by hash; what a pass before the last has
+    found is written next to the documents, so that no worker ever holds more of the benchmark than that.
     """
     results = ["n_words", "n_hit", "item_ids", "spans"]
     keep = [c for c in docs.columns if c not in results and c != text_col]
     raw, was_spans, was_items = fresh(docs, "raw", "spans", "items")
     span_type = "array<struct<first:long,after:long>>"
-    passes = benchmark_passes(items, item_id, item_text, pass_bytes)
-    at = docs.select(*keep, F.col(text_col).cast("binary").alias(raw), F.lit(None).cast(span_type).alias(was_spans), F.lit(None).cast("array<long>").alias(was_items), F.lit(None).cast("long").alias("n_words"))
+    id_type = items.schema[item_id].dataType.simpleString()
+    rows = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("binary").alias("text")).distinct()
+    parts = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // pass_bytes))
+    rows = written(rows, "benchmark") if parts > 1 else rows
+    part_of = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+    at = docs.select(*keep, F.col(text_col).cast("binary").alias(raw), F.lit(None).cast(span_type).alias(was_spans), F.lit(None).cast("array<string>").alias(was_items), F.lit(None).cast("long").alias("n_words"))
     schema = at.schema
     n = len(keep)
     span_arrow = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
 
-    def searcher(held: list[Broadcast], last: bool):
+    def searcher(held: Broadcast, last: bool):
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 size, first = 0, 0
@@ -257,25 +295,31 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
             texts = batch.column(n).to_pylist()
             spans = [[(s["first"], s["after"]) for s in old or []] for old in batch.column(n + 1).to_pylist()]
             items = [set(ids or []) for ids in batch.column(n + 2).to_pylist()]
-            for part in held:
-                counts, found, names = shard_matches([t or b"" for t in texts], _phrases(part, window))
-                for i, (a, b) in enumerate(found):
-                    if len(a):
-                        spans[i] = _merge([*spans[i], *zip(a.tolist(), b.tolist())])
-                        items[i] |= names[i]
+            counts, found, names = shard_matches([t or b"" for t in texts], _phrases(held, window))
+            for i, (a, b) in enumerate(found):
+                if len(a):
+                    spans[i] = _merge([*spans[i], *zip(a.tolist(), b.tolist())])
+                    items[i] |= names[i]
             if last and cut:
                 texts = [t and cut_spans(t, s) for t, s in zip(texts, spans)]
-            columns = [*batch.columns[:n], pa.array(texts, pa.binary()), pa.array([[{"first": a, "after": b} for a, b in s] for s in spans], span_arrow), pa.array([sorted(s) for s in items], pa.list_(pa.int64())), pa.array(counts, pa.int64())]
+            columns = [*batch.columns[:n], pa.array(texts, pa.binary()), pa.array([[{"first": a, "after": b} for a, b in s] for s in spans], span_arrow), pa.array([sorted(s) for s in items], pa.list_(pa.string())), pa.array(counts, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         return search
 
-    for k in range(0, len(passes), PASS_PARTS):
-        at = at.mapInArrow(searcher(passes[k : k + PASS_PARTS], k + PASS_PARTS >= len(passes)), schema)
+    for k in range(parts):
+        held = items.sparkSession.sparkContext.broadcast([(r.id, bytes(r.text)) for r in (rows.where(part_of == k) if parts > 1 else rows).collect()])
+        found = at.mapInArrow(searcher(held, k == parts - 1), schema)
+        if k < parts - 1:
+            found = written(found, "benchmark-pass", **LARGE_ROWS)
+            held.destroy()
+            if k:
+                removed(at)
+        at = found
     text = F.col(raw).cast("string")
     hit = F.aggregate(was_spans, F.lit(0).cast("long"), lambda s, x: s + x["after"] - x["first"])
     passed = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in results]
-    return at.select(*passed, "n_words", hit.alias("n_hit"), F.col(was_items).alias("item_ids"), F.col(was_spans).alias("spans"))
+    return at.select(*passed, "n_words", hit.alias("n_hit"), F.array_sort(F.col(was_items).cast(f"array<{id_type}>")).alias("item_ids"), F.col(was_spans).alias("spans"))
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
