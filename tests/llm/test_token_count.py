@@ -1,3 +1,6 @@
+import random
+import time
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -38,6 +41,24 @@ def test_merging(texts):
     assert TOOL.count(texts) == library(texts)
 
 
+def test_long_unbroken_texts():
+    """Random letters, base64-like text and unspaced scripts of a megabyte, in seconds."""
+    r = random.Random(1)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=1_000_000)), "".join(r.choices("日本語文字列漢漢漢", k=300_000)), "a" * 1_000_000, "=" * 500_000 + " " * 500_000]
+    for text in texts:
+        began = time.perf_counter()
+        got = TOOL.count([text])
+        assert time.perf_counter() - began < 20
+        assert got == library([text])
+    assert max(map(len, TOOL.counts)) < 256
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abetth", min_size=250, max_size=700), min_size=1, max_size=4))
+def test_merging_rank_by_rank(texts):
+    assert TOOL.long_lengths([t.encode() for t in texts]).tolist() == library(texts)
+
+
 def test_rows(spark):
     long = "the quick brown fox " * 20000
     rows = [(1, None, "x", 5), (1, "", "y", 6), (None, "a b c", None, None), (2, long, "z", 7), (2, long, "z", 7)]

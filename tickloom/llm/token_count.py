@@ -4,10 +4,15 @@ Pre-tokens that a worker hasn't met are laid end to end in one ragged numpy arra
 adjacent pair, takes each sequence's lowest, merges all its occurrences there at once (left to right where they overlap) and
 retires sequences without a known pair. A merged symbol is created after both its parts, so every pair with it ranks higher
 and the rounds agree with merging one pair at a time.
+
+Long pre-tokens (base64, unspaced scripts) would need a round over everything for each of thousands of ranks. They are merged
+rank by rank instead, over links to the next symbol: each rank is taken up once, for all of them at once, and only the pairs
+beside what it merged are looked up again.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -26,6 +31,8 @@ from .common import fresh
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text whose pre-tokens are held at once, and pre-tokens whose counts a worker remembers (a cache only).
 CHUNK_CHARS, CACHE = 1 << 20, 1 << 19
+#: Bytes of a pre-token from which it is merged rank by rank, and is not remembered.
+LONG = 256
 #: Up to this character, explicit classes of Python's own (faster) pattern engine say the same.
 LATIN = "\u024f"
 NOT_LATIN = re.compile(f"[^\0-{LATIN}]")
@@ -76,19 +83,78 @@ class Merger:
         self.own = Tokenizer.from_file(file).pre_tokenizer
         self.counts: dict[str, int] = {}
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NONE)
+
+    def long_lengths(self, words: list[bytes]) -> np.ndarray:
+        """Symbols left of each long word: ranks in order, each merged at all its places at once."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(sizes + 1) - 1  # an empty place after each word, which pairs with nothing
+        size = int(ends[-1]) + 1
+        sym = np.full(size, -1, np.int64)
+        real = np.ones(size, bool)
+        real[ends] = False
+        sym[real] = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        rank = np.full(size, NONE, np.int32)
+        both = np.flatnonzero(real[:-1] & real[1:])
+        rank[both] = self._ranks(sym[both], sym[both + 1])
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            """Notes places whose pair has a rank, by rank."""
+            own = rank[places]
+            places, own = places[own != NONE], own[own != NONE]
+            order = np.argsort(own, kind="stable")
+            places, own = places[order], own[order]
+            edges = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else own
+            for part, r in zip(np.split(places, edges[1:]), own[edges].tolist()):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        wait(both)
+        alive = real.copy()
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # Of overlapping occurrences (a a a), each second one from the left falls away.
+            run = np.r_[True, after[at[:-1]] != at[1:]]
+            number = np.arange(len(at))
+            at = at[(number - np.maximum.accumulate(np.where(run, number, 0))) % 2 == 0]
+            gone = after[at]
+            sym[at], alive[gone], rank[gone] = self.made[r], False, NONE
+            after[at] = after[gone]
+            before[after[at]] = at
+            left = before[at]
+            changed = np.unique(np.r_[at, left[left >= 0]])
+            changed = changed[alive[changed]]
+            right = sym[after[changed]]
+            rank[changed] = np.where(right >= 0, self._ranks(sym[changed], right), NONE)
+            wait(changed)
+        return np.add.reduceat(alive, np.r_[0, ends[:-1] + 1], dtype=np.int64)
+
     def merged_lengths(self, words: list[bytes]) -> np.ndarray:
         """Symbols left of each word after all merges."""
         sizes = np.array([len(w) for w in words], np.int64)
         out = sizes.copy()
-        live = np.flatnonzero(sizes > 1)
+        long = np.flatnonzero(sizes >= LONG)
+        if len(long):
+            out[long] = self.long_lengths([words[i] for i in long])
+        live = np.flatnonzero((sizes > 1) & (sizes < LONG))
         sym = self.first[np.frombuffer(b"".join(words[i] for i in live), np.uint8)]
         size = sizes[live]
         while len(live):
             start = np.cumsum(size) - size
-            key = sym[:-1] * self.base + sym[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             rank = np.full(len(sym), NONE, np.int32)
-            rank[:-1] = np.where(self.keys[at] == key, self.ranks[at], NONE)
+            rank[:-1] = self._ranks(sym[:-1], sym[1:])
             rank[start + size - 1] = NONE  # a pair never spans two sequences
             low = np.minimum.reduceat(rank, start)
             chosen = (rank == np.repeat(low, size)) & (rank != NONE)
@@ -131,6 +197,9 @@ class Merger:
         self.counts.update(zip(new, self.merged_lengths([w.encode() for w in new]).tolist()))
         for i, tokens in held:
             total[i] += sum(map(self.counts.__getitem__, tokens))
+        for word in new:
+            if len(word) >= LONG // 4:  # what is remembered stays small
+                del self.counts[word]
         return total
 
 
