@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -73,6 +74,29 @@ def test_markup():
     assert g.declared_language(b'<html hreflang="de">') is None and g.page_text(b"a < b > c <") == b"a   c <"
 
 
+@pytest.mark.parametrize("page", [b"<meta " + b"content-language " * 60_000, b"<meta content-language content" + b" " * 1_000_000, b"<meta content-language content=" + b" " * 1_000_000 + b">", b"<html lang=" + b" " * 1_000_000, b"<html " + b"lang " * 200_000, b"<meta og:locale " * 70_000, b"&#" + b"9" * 1_000_000 + b";", b"<script" * 150_000 + b"</script" + b" " * 200_000])
+def test_hostile_pages_take_time_in_proportion(page):
+    began = time.perf_counter()
+    assert g.declared_language(page) is None
+    g.trigrams(g.page_text(page))
+    assert time.perf_counter() - began < 5
+
+
+def test_references_beyond_any_character():
+    assert g.page_text(b"a&#0000066;&#" + b"1" * 5000 + b";c&#99999999;d&#x41;").decode() == "aB\ufffdc\ufffddA"
+
+
+def test_any_number_of_languages(spark):
+    """100 labels, some with one row: each is learned and found."""
+    names = [f"l{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)]
+    rows = [(i * 10 + k, f"{n}zq {n}xw q{n}" * 5, n) for i, n in enumerate(names) for k in range(1 + i % 3)]
+    model = g.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=3)
+    assert list(model.languages) == names
+    pages = spark.createDataFrame([(i, "http://x.org/", f"{n}zq {n}xw q{n}") for i, n in enumerate(names)], "page_id long, url string, html string")
+    got = {r.page_id: r.text_lang for r in g.identify(pages, model).select("page_id", "text_lang").collect()}
+    assert [got[i] for i in range(100)] == names
+
+
 def test_trigrams_count_like_plain_python():
     grams = g.trigrams("Ab, é1b".encode())
     raw = " ab é b ".encode()

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import fresh, written
 from .url_filter import split_url
 
-#: Labelled documents that the text model is learned from at most (those with the smallest hash of the id), and languages.
-SAMPLE_ROWS, LANGUAGES = 20_000, 64
+#: Labelled documents of each language that the text model is learned from, about: a bound on labelled rows. All labels of a
+#: language with no more are used, and no language is left out.
+LABEL_ROWS = 5_000
 #: Hashed trigrams, and the count that each has to begin with.
 BUCKETS, ALPHA = 1 << 15, 0.5
 #: A text counts as at most so many independent trigrams, as neighbours share letters.
@@ -42,11 +43,15 @@ COUNTRIES = {
 _TAG = re.compile(rb"<[^<>]*>")
 _HIDDEN = re.compile(rb"(?i)<!--|<script\b|<style\b")
 _ENDS = {b"<!--": re.compile(rb"-->"), b"<script": re.compile(rb"(?i)</script\s*>"), b"<style": re.compile(rb"(?i)</style\s*>")}
+#: Tags that declare a language, what has to stand in them, and the attribute behind it. Tags and attributes are looked for
+#: one after the other, and blanks aren't given back, so a page is read in time proportional to its length.
 _DECLARED = [
-    re.compile(rb"(?is)<html\b[^<>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]{2,8})\b"),
-    re.compile(rb"(?is)<meta\b[^<>]*?content-language[^<>]*?content\s*=\s*[\"']?\s*([a-z]{2,8})\b"),
-    re.compile(rb"(?is)<meta\b[^<>]*?og:locale[^<>]*?content\s*=\s*[\"']?\s*([a-z]{2,8})(?:\b|_)"),
+    (re.compile(rb"(?i)<html\b[^<>]*+"), None, re.compile(rb"(?i)\s(?:xml:)?lang\s*+=\s*+(?:[\"']\s*+)?([a-z]{2,8})\b")),
+    (re.compile(rb"(?i)<meta\b[^<>]*+"), b"content-language", re.compile(rb"(?i)content\s*+=\s*+(?:[\"']\s*+)?([a-z]{2,8})\b")),
+    (re.compile(rb"(?i)<meta\b[^<>]*+"), b"og:locale", re.compile(rb"(?i)content\s*+=\s*+(?:[\"']\s*+)?([a-z]{2,8})(?:\b|_)")),
 ]
+#: Numeric character references: leading zeros, and more digits than any character has.
+_ZEROS, _HUGE = re.compile(rb"&#0+(?=[0-9])"), re.compile(rb"&#[0-9]{8,};?")
 _FOLD = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
@@ -64,14 +69,18 @@ def page_text(page: bytes) -> bytes:
         else:
             missing.add(kind)
     text = _TAG.sub(b" ", b" ".join([*parts, page[at:]]))
+    if b"&#" in text:
+        text = _HUGE.sub("\ufffd".encode(), _ZEROS.sub(b"&#", text))
     return entities.unescape(text.decode("utf-8", "replace")).encode("utf-8", "replace") if b"&" in text else text
 
 
 def declared_language(page: bytes) -> str | None:
     """The primary tag that the page declares for itself, lower case; of several places the first in order of _DECLARED."""
-    for pattern in _DECLARED:
-        if m := pattern.search(page):
-            return m[1].decode().lower()
+    for tags, name, attribute in _DECLARED:
+        for tag in tags.finditer(page):
+            at = tag[0].lower().find(name) + len(name) if name else 0
+            if (not name or at >= len(name)) and (m := attribute.search(tag[0], at)):
+                return m[1].decode().lower()
     return None
 
 
@@ -106,14 +115,16 @@ def model_of(counts: dict[str, np.ndarray]) -> TextModel:
     return TextModel(languages, np.log((n + ALPHA) / (n.sum(axis=0) + ALPHA * BUCKETS)))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> TextModel:
-    """A text model of at most `rows` labelled documents and the LANGUAGES most frequent labels among them. Rows with null
-    id, text or label aren't used. Trigrams are counted per language in a grouped aggregation; the driver gets the sums."""
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = LABEL_ROWS) -> TextModel:
+    """A text model of all labels (lower case): of each, about `rows` documents, those with the smallest hashes of the id, or
+    all if there are no more. Rows with null id, text or label aren't used. Trigrams are counted per language in a grouped
+    aggregation; the driver gets the sums, at most BUCKETS numbers for each language of the table."""
+    lang = F.lower(lang_col)
     labelled = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & (F.coalesce(F.col(lang_col), F.lit("")) != ""))
-    chosen = labelled.select(F.col(id_col).alias("id"), F.lower(lang_col).alias("lang")).orderBy(F.xxhash64(id_col), id_col, lang_col).limit(rows).distinct()
-    most = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
-    chosen = chosen.join(F.broadcast(most), "lang")  # bounded by rows and LANGUAGES
-    texts = labelled.select(F.col(id_col).alias("id"), F.lower(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(chosen), ["id", "lang"])
+    # A row a label, as many as the table names languages.
+    sizes = labelled.groupBy(lang.alias("lang")).agg(F.count(F.lit(1)).alias("size"))
+    share = F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    texts = labelled.select(lang.alias("lang"), F.col(text_col).cast("binary").alias("text"), share.alias("share")).join(F.broadcast(sizes), "lang").where(F.col("share") * F.col("size") < rows)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +137,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
     sums = texts.select("lang", "text").mapInArrow(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = sums.toPandas()  # at most LANGUAGES x BUCKETS rows of numbers
+    table = sums.toPandas()  # at most BUCKETS rows of numbers for each language
     counts = {lang: np.bincount(own["bucket"], own["n"], BUCKETS) for lang, own in table.groupby("lang")}
     return model_of(counts)
 
@@ -239,10 +250,8 @@ def identify(pages: DataFrame, model: TextModel, url_col: str = "url", html_col:
     judged = met.withColumns({s: F.col(t) + F.log(F.greatest(smoothed(k, x), F.lit(tiny))) + declaration(k, x) for k, (s, t, x) in enumerate(zip(scores, ts, langs))})
 
     def best(columns: list[str]) -> Column:
-        out, high = F.lit(langs[0]), F.col(columns[0])
-        for x, c in zip(langs[1:], columns[1:]):
-            out, high = F.when(F.col(c) > high, x).otherwise(out), F.greatest(high, c)
-        return out
+        """The language of the largest column; of equal ones the first."""
+        return F.element_at(F.array(*map(F.lit, langs)), F.array_position(F.array(*columns), F.array_max(F.array(*columns))).cast("int"))
 
     high = F.greatest(*scores, F.lit(float("-inf")))
     mass = [F.exp(F.col(s) - high) for s in scores]
