@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -60,11 +61,14 @@ def cloud(n, seed):
     return [v - (1 << 64) if v >> 63 else v for v in dict.fromkeys(out)]
 
 
-@pytest.mark.parametrize("blocks,shard_rows", [(4, 20_000), (5, 20_000), (6, 20_000), (4, 3), (4, 40)])
-def test_links_against_brute_force(spark, blocks, shard_rows):
+@pytest.mark.parametrize("density,shard_rows", [(1024, 20_000), (20, 20_000), (1 / 1000, 20_000), (1 / 10**6, 20_000), (1024, 30), (20, 4)])
+def test_links_against_brute_force(spark, monkeypatch, density, shard_rows):
+    """One tree, trees over bits of four, five and six blocks, shells, and pairs of blocks of what shells leave."""
+    monkeypatch.setattr(s, "DENSITY", density)
+    monkeypatch.setattr(s, "forest", lambda rows, radius, f=s.forest: f(rows, radius) if density >= 1 else s.masks(5 if density > 1e-4 else 6, radius, 25))
     values = cloud(150, 5) + [v ^ 0xFFFF for v in range(0, 1 << 12, 37)]  # the latter share a shard of one tree
     values = list(dict.fromkeys(values))
-    links = s.near_links(spark.createDataFrame([(v,) for v in values], "print long"), blocks=blocks, shard_rows=shard_rows)
+    links = s.near_links(spark.createDataFrame([(v,) for v in values], "print long"), shard_rows=shard_rows)
     got = {r.node: r.root for r in s.components(links).collect()}
     low, root = {}, classes([v & (1 << 64) - 1 for v in values])
     for v in values:
@@ -74,10 +78,15 @@ def test_links_against_brute_force(spark, blocks, shard_rows):
 
 def test_large_shard_in_memory():
     values = np.array(cloud(700, 6))
-    label = s.local_links(values, np.ones(len(values), bool), 3)
+    same = np.zeros(len(values), np.int64)
+    shards = s.Shards(3)
+    a, b = shards.links(same, same, values, np.ones(len(values), bool))
+    assert shards.near < shards.compared < 0.6 * shards.pairs and shards.pairs == len(values) * (len(values) - 1) // 2
+    up = dict(zip(a.tolist(), b.tolist()))
     root = classes([int(v) & (1 << 64) - 1 for v in values])
     groups = {}
-    for v, k in zip(values.tolist(), label.tolist()):
+    for v in values.tolist():
+        k = up.get(v, v)
         groups.setdefault(root[v & (1 << 64) - 1], set()).add(k)
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
@@ -89,10 +98,28 @@ def test_components_of_paths_and_hubs(spark):
     assert s.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_blocks():
-    assert [s.blocks_for(n, 3) for n in (0, 10**6, 10**8, 10**12)] == [4, 4, 5, 6]
-    for blocks in (4, 5, 6):
-        union = s.masks(blocks, 3)
+def test_shards_over_many_batches():
+    """A shard that many batches share, then small ones: the links of one batch with all rows."""
+    values = np.array(cloud(400, 8))
+    shard = np.sort(np.r_[np.zeros(500, np.int64), np.arange(len(values) - 500) // 7])
+    columns = [np.zeros(len(values), np.int64), shard, values, np.ones(len(values), bool)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["tree", "shard", "print", "home"])
+    whole = [np.concatenate(x) for x in zip(*s.Shards(3).of(iter([batch])))]
+    for size in (1, 9, 200):
+        parts = [np.concatenate(x) for x in zip(*s.Shards(3).of(batch.slice(i, size) for i in range(0, len(values), size)))]
+        assert sorted(zip(*(x.tolist() for x in parts))) == sorted(zip(*(x.tolist() for x in whole)))
+
+
+def test_pruning_is_told(spark):
+    values = cloud(600, 9)
+    distinct, pairs, compared, near = s.pruning(spark.createDataFrame([(v,) for v in values], "print long"))
+    assert distinct == len(values) and pairs >= compared >= near > 0
+
+
+def test_forest():
+    assert [len(s.forest(n, 3)) for n in (0, 1000, 10**6, 10**8, 10**12)] == [1, 1, 4, 10, 20]
+    for rows in (10**4, 10**6, 10**8, 10**12):
+        union = s.forest(rows, 3)
         assert all(any(d & m == 0 for m in union) for d in (1 << a | 1 << b | 1 << c for a in range(0, 64, 5) for b in range(64) for c in range(0, 64, 3)))
 
 

@@ -1,14 +1,17 @@
 """SimHash near-duplicates with a forest of vantage-point trees.
 
-Fingerprints within `radius` bits agree on at least blocks - radius of `blocks` bit blocks. Each choice of that many blocks is
-a mask and has a tree of its own over the Hamming distance under the mask, searched with radius 0. Its upper levels have the
-zero word and the single-bit words of the mask as vantage points: |d(f, v) - d(g, v)| <= 0 for all of them prunes every branch
-but that of the words equal to f under the mask, so the shard at the end of the walk is addressed by f & mask at once.
-
-Below, trees go on in the full distance with radius 3. A shard of more than SHARD_ROWS is split by the distance from a vantage
-point of its own into shells; the triangle bound leaves shells whose distance differs by 3 at most, so each fingerprint has a
-home shell and visits the next three. Within a shard, rows sorted by distance from a vantage point are compared inside the same
-bound, which gives all pairs exactly. A shard returns a spanning forest of its links, never all pairs of a group.
+In 64 bits, fingerprints of unlike texts are all some 32 bits apart, so a vantage point alone leaves about half of them in
+reach of a radius of 3, and a tree on nothing else visits a share of all rows that hardly falls with depth (figures in the
+README). The forest therefore has one level above its vantage points: fingerprints within `radius` bits agree on at least
+blocks - radius of `blocks` bit blocks, so for each choice of that many blocks there is a tree per value of some of their bits,
+as many bits as leave about DENSITY fingerprints to a tree. All pairs within the radius meet in a tree, and from there on
+distances decide.
+
+A tree over SHARD_ROWS is partitioned by Hamming distance from a vantage point into shells; by the triangle bound, pairs within
+the radius are in shells that differ by it at most, so each fingerprint has a home shell and visits the next three. What two
+such levels leave too large is dealt into pairs of blocks, each a task of bounded size. Inside a shard, rows sorted by distance
+from a vantage point are compared within the same bound, which gives all pairs exactly; a shard returns a spanning forest of
+its links, never all pairs of a group.
 
 Copies meet first: equal fingerprints become one row by a partial aggregation, so only different ones are ever searched.
 """
@@ -25,37 +28,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, removed, written
+from .graph import SALTS, components, union
 
-#: Rows of a shard beyond which its tree grows another level, and how many levels may follow the mask.
-SHARD_ROWS, LEVELS = 20_000, 4
-#: Expected fingerprints to a shard at most, by which the number of blocks is chosen.
+#: Rows of a shard beyond which it is split, and levels of shells before what is left is dealt into pairs of blocks.
+SHARD_ROWS, LEVELS = 20_000, 2
+#: Expected fingerprints to a tree, by which the bits of the level above are chosen.
 DENSITY = 1024
-#: Pairs compared in one numpy step.
+#: Pairs compared, or links held, in one numpy step.
 STEP = 1 << 20
-#: Copies of each node's minimum, among which the links of a hub are dealt.
-SALTS = 8
 BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """A bit is set if it is set in over half the XXH64 (seed 42) hashes of the text's word shingles, repeats included."""
+def shingle_hashes(text: bytes, width: int) -> tuple[bytes, np.ndarray]:
+    """The text's words joined by blanks, and the XXH64 (seed 42) of its word shingles, repeats included; a text of fewer words
+    than width is one shingle, one without words has none."""
     words = text.lower().split()  # on bytes: A-Z and the six ASCII blanks only
-    if not words:
-        return 0
     joined = b" ".join(words)
+    if not words:
+        return joined, np.zeros(0, np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     if len(words) > width:
-        starts, ends = starts[: 1 - width], ends[width - 1 :]
+        starts, ends = starts[: 1 - width or None], ends[width - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+    return joined, np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The fingerprint: a bit is set if it is set in over half of the hashes; zero if there are none."""
     lanes = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(lanes[:, k], minlength=256) @ BITS for k in range(8)])
     return sum(1 << i for i in np.flatnonzero(counts * 2 > len(hashes)).tolist())
 
 
+def fingerprint(text: bytes, width: int = 3) -> int:
+    return folded(shingle_hashes(text, width)[1])
+
+
 def fingerprints(docs: DataFrame, text_col: str, out_col: str, width: int = 3) -> DataFrame:
     """docs without text_col and with the fingerprint (as a signed long) in out_col."""
     keep = [c for c in docs.columns if c not in (text_col, out_col)]
@@ -70,19 +81,27 @@ def fingerprints(docs: DataFrame, text_col: str, out_col: str, width: int = 3) -
     return docs.select(*keep, F.col(text_col).cast("binary").alias(raw)).mapInArrow(made, schema)
 
 
-def masks(blocks: int, radius: int) -> list[int]:
-    """Signed 64-bit masks: all choices of blocks - radius blocks of about 64 / blocks bits."""
+def masks(blocks: int, radius: int, bits: int = 64) -> list[int]:
+    """Signed 64-bit masks: all choices of blocks - radius of `blocks` blocks, of which at most `bits` bits count."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [(1 << edges[i + 1]) - (1 << edges[i]) for i in range(blocks)]
-    return [m - (1 << 64) if (m := sum(chosen)) >= 1 << 63 else m for chosen in combinations(parts, blocks - radius)]
-
-
-def blocks_for(rows: int, radius: int) -> int:
-    """The fewest blocks (so the fewest trees) whose masks keep random fingerprints at DENSITY a shard; six at most for 3 bits."""
+    chosen, out = blocks - radius, []
+    for places in combinations(range(blocks), chosen):
+        mask = 0
+        for nth, i in enumerate(places):
+            width = min(edges[i + 1] - edges[i], (bits + chosen - 1 - nth) // chosen)
+            mask |= ((1 << width) - 1) << edges[i]
+        out.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
+    return list(dict.fromkeys(out))
+
+
+def forest(rows: int, radius: int) -> list[int]:
+    """The masks whose trees hold about DENSITY random fingerprints each: the fewest blocks that have bits enough for it, six
+    at most for a radius of 3, and no more bits than it takes."""
+    bits = max(0, rows // DENSITY - 1).bit_length()
     n = radius + 1
-    while n < 2 * radius and rows >> 64 * (n - radius) // n > DENSITY:
+    while n < 2 * radius and 64 * (n - radius) // n < bits:
         n += 1
-    return n
+    return masks(n, radius, bits)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -90,154 +109,167 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64))
 
 
-def local_links(prints: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """For each fingerprint of a shard the place of the smallest that it reaches here. Pairs of two visitors don't count: they
-    meet at home elsewhere."""
-    n = len(prints)
-    label = np.arange(n)
-    away = distance(prints, prints[0]).astype(np.int64)  # the vantage point is any row
-    order = np.argsort(away, kind="stable")
-    away, sorted_prints, sorted_home = away[order], prints[order], home[order]
-    reach = np.searchsorted(away, away + radius, side="right")  # the triangle bound, to one side
-    todo = reach - np.arange(n) - 1
-    at = 0
-    done = np.cumsum(todo)
-    while at < n:
-        stop = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + STEP, side="right")))
-        left = np.repeat(np.arange(at, stop), todo[at:stop])
-        right = left + 1 + np.arange(len(left)) - np.repeat(done[at:stop] - todo[at:stop] - (done[at - 1] if at else 0), todo[at:stop])
-        near = (distance(sorted_prints[left], sorted_prints[right]) <= radius) & (sorted_home[left] | sorted_home[right])
-        union(label, order[left[near]], order[right[near]])
-        at = stop
-    return label
-
-
-def union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the classes of a and b; labels stay the smallest place of their class."""
-    while True:
-        x, y = label[a], label[b]
-        apart = x != y
-        if not apart.any():
-            return
-        np.minimum.at(label, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
-        while (label != (up := label[label])).any():
-            label[:] = up
-
-
-def shard_forest(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) of rows (tree, shard, print, home) that come sorted by tree and shard. Small shards of a batch are compared
-    together, at growing distance in the sorted order; a shard cut by the end of a batch waits for the next."""
-    names = ["a", "b"]
-    held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
-
-    def solve(tree, shard, prints, home):
-        if not len(prints):
-            return None
+class Shards:
+    """Searches shards, and counts their pairs: all, those that vantage points leave, and those within the radius."""
+
+    def __init__(self, radius: int):
+        self.radius, self.pairs, self.compared, self.near = radius, 0, 0, 0
+
+    def links(self, tree: np.ndarray, shard: np.ndarray, prints: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links (a, b) that connect what is within the radius in each shard of rows that come sorted by tree and shard. Pairs
+        of two visitors don't count: they meet at home elsewhere."""
         first = np.flatnonzero(np.r_[True, (tree[1:] != tree[:-1]) | (shard[1:] != shard[:-1])])
         size = np.diff(np.r_[first, len(prints)])
-        label = np.arange(len(prints))
-        for f, s in zip(first[size > 64].tolist(), size[size > 64].tolist()):
-            label[f : f + s] = local_links(prints[f : f + s], home[f : f + s], radius) + f
-        last = np.repeat(np.where(size > 64, 0, first + size), size)
-        left, step = np.arange(len(prints)), 1
-        while len(left := left[left + step < last[left]]):
-            near = (distance(prints[left], prints[left + step]) <= radius) & (home[left] | home[left + step])
-            union(label, left[near], left[near] + step)
+        self.pairs += int((size * (size - 1) // 2).sum())
+        number = np.repeat(np.arange(len(first)), size)
+        # The vantage point is any row of the shard; distances from it sort the shard.
+        away = distance(prints, prints[first][number]).astype(np.int64)
+        order = np.lexsort((away, number))
+        prints, home, away = prints[order], home[order], away[order]
+        last = np.repeat(first + size, size)
+        label, held, count, left, step = np.arange(len(prints)), [], 0, np.arange(len(prints)), 1
+        while True:
+            left = left[left + step < last[left]]
+            left = left[away[left + step] - away[left] <= self.radius]  # the triangle bound; further rows are further away
+            if not len(left):
+                break
+            self.compared += len(left)
+            near = left[(distance(prints[left], prints[left + step]) <= self.radius) & (home[left] | home[left + step])]
+            self.near += len(near)
+            held.append((near, near + step))
+            count += len(near)
+            if count > STEP:
+                union(label, *map(np.concatenate, zip(*held)))
+                held, count = [], 0
             step += 1
+        if count:
+            union(label, *map(np.concatenate, zip(*held)))
         moved = np.flatnonzero(label != np.arange(len(label)))
-        if len(moved):
-            return pa.RecordBatch.from_arrays([pa.array(prints[moved]), pa.array(prints[label[moved]])], names=names)
-
-    for batch in batches:
-        held = [np.r_[old, batch.column(i).to_numpy(zero_copy_only=False)] for i, old in enumerate(held)]
-        tree, shard = held[:2]
-        open_at = len(tree) - int(np.argmax(((tree != tree[-1]) | (shard != shard[-1]))[::-1])) if len(tree) else 0
-        if len(tree) and tree[0] == tree[-1] and shard[0] == shard[-1] and (tree == tree[0]).all() and (shard == shard[0]).all():
-            open_at = 0
-        if (out := solve(*(x[:open_at] for x in held))) is not None:
-            yield out
-        held = [x[open_at:] for x in held]
-    if (out := solve(*held)) is not None:
-        yield out
-
-
-def near_links(prints: DataFrame, radius: int = 3, blocks: int | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links (a, b), both fingerprints, that connect all of the distinct column `print` within radius bits of each other."""
-    blocks = blocks or blocks_for(prints.count(), radius)
-    pairs = F.array(*[F.struct(F.lit(i).alias("tree"), F.lit(m).alias("mask")) for i, m in enumerate(masks(blocks, radius))])
-    rows = prints.select("print", F.explode(pairs).alias("m")).select(F.col("m.tree").cast("long").alias("tree"), F.col("print").bitwiseAND(F.col("m.mask")).alias("shard"), "print", F.lit(True).alias("home"))
-    for level in range(LEVELS):
+        return prints[moved], prints[label[moved]]
+
+    def of(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Links of rows (tree, shard, print, home). Shards of a batch are searched together; one cut by the end of a batch
+        waits for the next."""
+        held: list[list[np.ndarray]] = []
+
+        def solve():
+            if held:
+                yield self.links(*(np.concatenate(x) for x in zip(*held)))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            other = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))
+            open_at = int(other[-1]) + 1 if len(other) else 0
+            if held and (open_at or held[-1][0][-1] != rows[0][0] or held[-1][1][-1] != rows[1][0]):
+                if open_at:
+                    held.append([x[:open_at] for x in rows])
+                yield from solve()
+                held = []
+            elif open_at:
+                held = [[x[:open_at] for x in rows]]
+                yield from solve()
+                held = []
+            held.append([x[open_at:] for x in rows])
+        yield from solve()
+
+
+def _counts(rows: DataFrame, limit: int, level: int) -> DataFrame:
+    """Shards of over limit rows, their size, and a vantage point of theirs."""
+    return rows.groupBy("tree", "shard").agg(F.count(F.lit(1)).alias("n"), F.min_by("print", F.xxhash64("print", F.lit(level))).alias("vantage")).where(F.col("n") > limit)
+
+
+def sharded(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Rows (tree, shard, print, home) of the distinct column `print`, in shards of about shard_rows at most, such that all
+    pairs within radius bits share a shard in which one of them is at home."""
+    trees = F.array(*[F.struct(F.lit(i).cast("long").alias("tree"), F.lit(m).alias("mask")) for i, m in enumerate(forest(prints.count(), radius))])
+    rows = prints.select("print", F.explode(trees).alias("m")).select("m.tree", F.col("print").bitwiseAND(F.col("m.mask")).alias("shard"), "print", F.lit(True).alias("home"))
+    for level in range(LEVELS + 1):
         # Few shards are large: their number is bounded by rows / shard_rows, yet they are joined, not collected.
-        large = rows.groupBy("tree", "shard").agg(F.count(F.lit(1)).alias("n"), F.min_by("print", F.xxhash64("print", F.lit(level))).alias("vantage")).where(F.col("n") > shard_rows)
-        large = written(large, "large-shards")
+        large = written(_counts(rows, shard_rows, level), "large-shards")
         if large.isEmpty():
             break
-        copies = large.select("tree", "shard", "vantage", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        copies = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salted = rows.withColumn("salt", F.pmod(F.xxhash64("print"), F.lit(SALTS)).cast("int"))
         found = salted.join(copies, ["tree", "shard", "salt"], "left")
-        away = F.bit_count(F.col("print").bitwiseXOR(F.col("vantage"))).cast("int")
-        shells = F.sequence(F.when(F.col("home"), away).otherwise(away - radius), away + radius)
-        split = found.where("vantage IS NOT NULL").select("tree", "shard", "print", "home", away.alias("away"), F.explode(shells).alias("shell"))
-        split = split.select("tree", F.xxhash64("tree", "shard", "shell", F.lit(level)).alias("shard"), "print", (F.col("home") & (F.col("shell") == F.col("away"))).alias("home"))
-        rows = written(found.where("vantage IS NULL").select("tree", "shard", "print", "home").unionByName(split), "shards")
-    sorted_rows = rows.repartition("tree", "shard").sortWithinPartitions("tree", "shard")
-    return sorted_rows.mapInArrow(lambda it: shard_forest(it, radius), "a long, b long")
+        whole = found.where("vantage IS NULL").select("tree", "shard", "print", "home")
+        found = found.where("vantage IS NOT NULL")
+        if level < LEVELS:
+            away = F.bit_count(F.col("print").bitwiseXOR(F.col("vantage"))).cast("int")
+            shells = F.sequence(F.when(F.col("home"), away).otherwise(away - radius), away + radius)
+            split = found.select("tree", "shard", "print", "home", away.alias("away"), F.explode(shells).alias("shell"))
+            split = split.select("tree", F.xxhash64("tree", "shard", "shell", F.lit(level)).alias("shard"), "print", (F.col("home") & (F.col("shell") == F.col("away"))).alias("home"))
+        else:
+            # Vantage points of a dense group leave nearly all of it in reach: every two blocks of it meet in a task.
+            blocks = F.ceil(2 * F.col("n") / shard_rows).cast("int")
+            own = F.pmod(F.xxhash64("print", F.lit("block")), blocks).cast("int")
+            split = found.select("tree", "shard", "print", "home", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+            split = split.select("tree", F.xxhash64("tree", "shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "print", "home")
+        new = written(whole.unionByName(split), "shards")
+        if level:
+            removed(rows)
+        rows = new
+    return rows
+
+
+def near_links(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links (a, b), both fingerprints, that connect all of the distinct column `print` within radius bits of each other."""
 
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in Shards(radius).of(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for each node of links (a, b): root is the smallest node of its connected component.
+    return sharded(prints, radius, shard_rows).repartition("tree", "shard").sortWithinPartitions("tree", "shard").mapInArrow(searched, "a long, b long")
 
-    Alternating large and small stars, each a minimum per node joined back to its links; both are partial aggregations, and
-    the links of a hub are dealt among SALTS copies of its minimum. Each round is written, so lineage stays short.
-    """
 
-    def star(links: DataFrame, both: bool) -> DataFrame:
-        ways = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        if both:
-            ways = ways.unionByName(ways.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        met = ways.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(low, ["u", "salt"])
-        if both:
-            out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
-            out = met.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(low.where("salt = 0").select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return out.where("a != b").distinct()
-
-    def state(df: DataFrame):
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    now = written(links.where("a != b").distinct(), "links")
-    seen = state(now)
-    while seen[0]:
-        new = written(star(star(now, True), False), "links")
-        removed(now)
-        now, before, seen = new, seen, state(new)
-        if seen == before:
-            break
-    # A fixed point is a set of stars: every node but the roots has one link, to its root.
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+def pruning(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> tuple[int, int, int, int]:
+    """What a search comes to: distinct fingerprints, pairs that share a shard, those of them that vantage points leave to be
+    compared, and those within the radius (a pair may share a shard of several trees)."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = Shards(radius)
+        for _ in shards.of(batches):
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (shards.pairs, shards.compared, shards.near)], names=["pairs", "compared", "near"])
 
-def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    rows = sharded(prints, radius, shard_rows).repartition("tree", "shard").sortWithinPartitions("tree", "shard")
+    sums = rows.mapInArrow(counted, "pairs long, compared long, near long").agg(F.sum("pairs"), F.sum("compared"), F.sum("near")).first()
+    return prints.count(), *(x or 0 for x in sums)
+
+
+def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 3, shard_rows: int = SHARD_ROWS, similarity: bool = False, row_col: str | None = None) -> DataFrame:
     """docs (without text_col) with fingerprint (16 hex digits) and component_id: the smallest id among the documents that
     chains of fingerprints within radius bits reach.
 
+    With similarity, a link holds if the sets of shingles have a Jaccard similarity of 0.8 or more, whatever the fingerprints:
+    pairs from the forest are confirmed by their sets, and an exact set join finds those that are further apart in bits (see
+    similar.py). row_col may then name a column that numbers the rows of docs, if docs is a written table; without it one is
+    written.
+
     Words are runs of other bytes than 0x20 and 0x09-0x0D, A-Z lower-cased; a text of fewer words than width is one shingle.
     A null text, or one without words, has fingerprint zero and is linked like any other. A null id is never the smallest; a
     component of null ids only has a null component_id. Repeated rows are equal documents. Texts of any length are read
     whole. Other columns pass through, those named like results are replaced; an empty table gives an empty table.
     """
     kept = docs.select(*[c for c in docs.columns if c not in ("fingerprint", "component_id")])
-    fp, a, b = fresh(kept, "print", "a", "b")
+    fp, a, b, row = fresh(kept, "print", "a", "b", "row")
+    names = [c for c in kept.columns if c != text_col]
+    shown = F.lpad(F.lower(F.hex(fp)), 16, "0").alias("fingerprint")
+    if similarity:
+        from .similar import group_similar
+
+        numbered = kept if row_col else written(kept.withColumn(row, F.monotonically_increasing_id()), "rows")
+        return group_similar(numbered, row_col or row, fp, id_col, text_col, radius, width, shard_rows).select(*names, shown, "component_id")
     printed = written(fingerprints(kept, text_col, fp, width), "prints")
     distinct = written(printed.groupBy(F.col(fp).alias("print")).agg(F.min(id_col).alias("first")), "distinct-prints")
-    roots = components(near_links(distinct.select("print"), radius, shard_rows=shard_rows))
-    linked = distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root"))
+    roots = components(near_links(distinct.select("print"), radius, shard_rows))
+    linked = distinct.join(roots.hint("merge"), distinct["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root"))
     # Most components are one fingerprint; the smallest ids of the others meet by root.
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(lowest, "root").select(F.col("print").alias(a), F.col("component_id").alias(b))
-    out = printed.join(named, printed[fp] == named[a])
-    return out.select(*[c for c in kept.columns if c != text_col], F.lpad(F.lower(F.hex(fp)), 16, "0").alias("fingerprint"), F.col(b).alias("component_id"))
+    named = linked.join(lowest.hint("merge"), "root").select(F.col("print").alias(a), F.col("component_id").alias(b))
+    out = printed.join(named.hint("merge"), printed[fp] == named[a])
+    return out.select(*names, shown, F.col(b).alias("component_id"))
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
