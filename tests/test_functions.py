@@ -109,6 +109,5 @@ def test_datetimes():
 
 
 def test_layout_hashes():
-    from tickloom.operators.segments import TRADE_LAYOUT
 
-    assert [f"{schema_fnv(x):x}" for x in (LAYOUTS["bbo"], LAYOUTS["depth"], TRADE_LAYOUT)] == ["c0820a5fb350b598", "74b01e065bf4c589", "1ed29fc435a25cc3"]
+    assert [f"{schema_fnv(x):x}" for x in (LAYOUTS["bbo"], LAYOUTS["depth"], LAYOUTS["trade"])] == ["c0820a5fb350b598", "74b01e065bf4c589", "1ed29fc435a25cc3"]

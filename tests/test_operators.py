@@ -155,4 +155,4 @@ def test_unknown_symbols(spark):
     order = list(dict.fromkeys(s for _, _, s in sorted((i, k, s) for k, i, s, _ in rows)))[:64]
     assert {x.symbol for x in rejects.unknown_symbols(df).collect()} == set(order)
     lines = rejects.summary({"unknown_symbol": 160, "bad_ts": 2}, order)
-    assert lines[0] == "skipped 162 rows: bad_ts=2 unknown_symbol=160" and "64 distinct sampled, capped" in lines[1] and rejects.summary({}, []) == []
+    assert lines[0] == "rejected rows: 162 (2 bad_ts, 160 unknown_symbol)" and lines[1].startswith("unknown symbols and maybe more: ") and lines[1].count("X") == 64 and rejects.summary({}, []) == []

@@ -139,7 +139,7 @@ def test_bad_files_and_rows(spark, tmp_path, caplog):
     with caplog.at_level(logging.INFO, "tickloom"):
         report, _ = play(spark, tmp_path, entry(d, "b"))
     assert report.skipped == {"bad_ts": 1, "unknown_symbol": 2, "malformed": 1} and report.unknown == ["BADSYM", "OTHER"]
-    assert any("0.book.csv" in m and "required column" in m for m in caplog.messages) and any("skipped 4 rows: malformed=1 bad_ts=1 unknown_symbol=2" in m for m in caplog.messages)
+    assert any("0.book.csv" in m and "the header lacks a column" in m for m in caplog.messages) and any("rejected rows: 4 (1 malformed, 1 bad_ts, 2 unknown_symbol)" in m for m in caplog.messages)
     (tmp_path / "none").mkdir()
     with pytest.raises(ReplayError):
         play(spark, tmp_path, entry(tmp_path / "none", "b"))

@@ -6,18 +6,18 @@ from enum import Enum
 
 
 class Error(Enum):
-    CONFIG_NOT_FOUND = "config file not found"
-    CONFIG_PARSE = "config parse error"
-    CONFIG_INVALID = "config invalid"
-    FILE_OPEN = "input file open failed"
-    OUTPUT_OPEN = "output open failed"
-    CSV_PARSE = "csv row parse error"
-    CSV_SCHEMA = "csv header missing required column"
-    BOOK_DEPTH_UNSUPPORTED = "book depth unsupported (only 1, 5, 10, 15, 20, 25; nothing is truncated)"
-    SEGMENT_OPEN = "segment open failed"
-    SEGMENT_MISMATCH = "segment header check mismatch"
-    SCALE_OVERFLOW = "value*10^scale overflows u32"
-    SYMBOL_UNKNOWN = "symbol not in the symbol table"
+    CONFIG_NOT_FOUND = "no such config file"
+    CONFIG_PARSE = "the config file isn't TOML"
+    CONFIG_INVALID = "a setting is missing or wrong"
+    FILE_OPEN = "an input can't be opened"
+    OUTPUT_OPEN = "an output can't be opened"
+    CSV_PARSE = "a row isn't CSV"
+    CSV_SCHEMA = "the header lacks a column"
+    BOOK_DEPTH_UNSUPPORTED = "books have 1, 5, 10, 15, 20 or 25 levels"
+    SEGMENT_OPEN = "a segment can't be opened"
+    SEGMENT_MISMATCH = "an existing segment is of another make"
+    SCALE_OVERFLOW = "a number doesn't fit 32 bits at any scale"
+    SYMBOL_UNKNOWN = "unknown symbol"
 
 
 class ReplayError(Exception):
@@ -39,8 +39,8 @@ MALFORMED, BAD_TS, BAD_FIELD, UNKNOWN_SYMBOL, BAD_NUMBER, SCALE_OVERFLOW = REASO
 
 class SegmentState(Enum):
     OK = "ok"
-    BAD_MAGIC = "bad magic (wrong or uninitialised segment)"
-    BAD_VERSION = "layout_version mismatch"
-    BAD_KIND = "wrong segment kind"
-    SIZE_MISMATCH = "entry_size/capacity mismatch"
-    SCHEMA_DRIFT = "schema_hash drift (field layout changed)"
+    BAD_MAGIC = "not a segment"
+    BAD_VERSION = "another layout version"
+    BAD_KIND = "another kind of table"
+    SIZE_MISMATCH = "entries of another size or number"
+    SCHEMA_DRIFT = "fields described otherwise"

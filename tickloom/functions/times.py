@@ -34,6 +34,19 @@ def parse_ts_value(text: str) -> int | None:
     return parse_datetime_ns(text, 0)
 
 
+def datetime_ns(text: Column) -> Column:
+    """parse_datetime_ns for a column: null for "" and for what is no time."""
+    part = lambda k: F.regexp_extract(text, r"^\s*(\d{1,4})-\s*(\d{1,2})-\s*(\d{1,2})\s*(\d{1,2}):\s*(\d{1,2}):\s*(\d{1,2})$", k).try_cast("int")
+    at = F.try_make_timestamp(part(1), part(2), part(3), part(4), part(5), part(6))
+    seconds = F.unix_seconds(at)
+    return F.when((part(6) < 60) & (seconds != -1), seconds * 1_000_000_000)
+
+
+def ts_value_ns(text: Column) -> Column:
+    """parse_ts_value for a column: a whole number is nanoseconds, anything else a datetime."""
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+$"), F.trim(text).try_cast("bigint")).otherwise(datetime_ns(text))
+
+
 def offset_ns(ts: Column, ts0: Column | int | None, realtime: float) -> Column:
     """Wall time from the start of a replay to an event: (ts - ts0) * realtime cut to whole nanoseconds, not below 0; 0 without ts0."""
     if ts0 is None:

@@ -53,8 +53,8 @@ def summary(counts: Mapping[str, int], unknown: list[str], limit: int = SAMPLE)
     total = sum(counts.values())
     if not total:
         return []
-    lines = [f"skipped {total} rows: " + " ".join(f"{r}={counts[r]}" for r in REASONS if counts.get(r))]
-    if n := counts.get(UNKNOWN_SYMBOL):
-        capped = ", capped" if len(unknown) >= limit else ""
-        lines.append(f"{n} rows skipped: symbol not in the table ({len(unknown)} distinct sampled{capped}): {', '.join(sorted(unknown))}")
+    lines = [f"rejected rows: {total} ({', '.join(f'{counts[r]} {r}' for r in REASONS if counts.get(r))})"]
+    if counts.get(UNKNOWN_SYMBOL):
+        more = " and maybe more" if len(unknown) >= limit else ""
+        lines.append(f"unknown symbols{more}: {', '.join(sorted(unknown))}")
     return lines

@@ -20,17 +20,16 @@ def published(trades: DataFrame, start: int = 0, chunk: Column | None = None) ->
 def tail(trades: DataFrame, units: Sequence[int], capacity: int = RING_CAPACITY) -> DataFrame:
     """The last `capacity` trades of each unit with slot, ring_idx and seq (2 * slot; 0 also marks a slot never written).
 
-    A top-k for each unit, so each task keeps `capacity` rows and no log is ever sorted or numbered as a whole.
+    A top-k for each unit (as many as a configuration lists), so each task keeps `capacity` rows and no log is ever sorted or
+    numbered as a whole. Heads are one small aggregation, joined by unit; nothing runs before the result is asked for.
     """
-    heads = {r.unit: r.n for r in trades.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where(F.col("unit").isin(list(units))).collect()}
-    parts = []
-    for unit in units:
-        last = trades.where(F.col("unit") == unit).orderBy(*[F.desc(c) for c in ORDER]).limit(capacity)
-        first = max(0, heads.get(unit, 0) - capacity)
-        parts.append(position(last, ["unit"], ORDER, "slot").withColumn("slot", F.col("slot") + first))
-    out = parts[0]
+    parts = [trades.where(F.col("unit") == unit).orderBy(*[F.desc(c) for c in ORDER]).limit(capacity) for unit in units]
+    last = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
+        last = last.unionByName(part)
+    heads = trades.where(F.col("unit").isin(list(units))).groupBy("unit").agg(F.greatest(F.lit(0), F.count(F.lit(1)) - capacity).alias("_first"))
+    out = position(last, ["unit"], ORDER, "slot").join(F.broadcast(heads), "unit")
+    out = out.withColumn("slot", F.col("slot") + F.col("_first")).drop("_first").select(*trades.columns, "slot")
     return out.withColumns({"ring_idx": (F.col("slot") % capacity).cast("int"), "seq": 2 * F.col("slot")})
 
 

@@ -13,8 +13,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a source in a chunk, and nanoseconds of a chunk of the merged order.
-CHUNK_ROWS, CHUNK_NS = 1 << 20, 86_400 * 10**9
+#: Rows of a chunk, about, and chunks at most (a square, as bounds are looked up in two steps).
+CHUNK_ROWS, CHUNKS = 1 << 20, 4096
+
+
+def bounds_of(df: DataFrame, column: str, rows: int = CHUNK_ROWS, least: int | None = None) -> list[int]:
+    """Values of a whole-number column that cut its rows into about equal chunks of `rows`, but `least` chunks at least (twice
+    the session's cores unless given): approximate quantiles, one partial aggregation. Any bounds give right results; these
+    make chunks even, whether the data spans years or a minute."""
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism if least is None else least
+    count = df.count()
+    n = max(1, min(CHUNKS, max(-(-count // rows), min(least, count))))
+    if n == 1:
+        return []
+    cuts = df.agg(F.percentile_approx(column, [k / n for k in range(1, n)], 10 * n)).first()[0]
+    return sorted(set(cuts or []))
+
+
+def chunk_by(bounds: Sequence[int], value: Column) -> Column:
+    """The chunk of a value: how many bounds are at most it, found among every w-th bound and then among the w behind that."""
+    if not bounds:
+        return F.lit(0)
+    w = max(1, int(len(bounds) ** 0.5))
+    every, tops = F.array(*[F.lit(b) for b in bounds]), F.array(*[F.lit(b) for b in bounds[::w]])
+    count = lambda xs: F.size(F.filter(xs, lambda b: b <= value))
+    block = count(tops)
+    return F.when(block == 0, 0).otherwise((block - 1) * w + count(F.slice(every, (block - 1) * w + 1, F.lit(w))))
 
 
 def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, chunk: Column | None = None, inclusive: bool = True) -> DataFrame:

@@ -17,9 +17,6 @@ from ..functions.schema_hash import BOARD, LAYOUT_VERSION, LAYOUTS, MAGIC, RING,
 from ..functions.symbols import SYMBOLS
 from . import ring
 
-#: Description of a trade's layout (fixed value).
-TRADE_LAYOUT = "TradeEntry:seq8|exch_ns8,px4,qty4,gid2,side1,pscale1,qscale1"
-
 
 @dataclass(frozen=True)
 class Header:
@@ -36,7 +33,7 @@ class Header:
 HEADERS = {
     "bbo": Header(MAGIC, LAYOUT_VERSION, BOARD, 64, len(SYMBOLS), f"{schema_fnv(LAYOUTS['bbo']):016x}"),
     "depth": Header(MAGIC, LAYOUT_VERSION, BOARD, 448, len(SYMBOLS), f"{schema_fnv(LAYOUTS['depth']):016x}"),
-    "trade": Header(MAGIC, LAYOUT_VERSION, RING, 64, RING_CAPACITY, f"{schema_fnv(TRADE_LAYOUT):016x}"),
+    "trade": Header(MAGIC, LAYOUT_VERSION, RING, 64, RING_CAPACITY, f"{schema_fnv(LAYOUTS['trade']):016x}"),
 }
 BBO_FIELDS = ["bid_px", "bid_qty", "ask_px", "ask_qty", "price_scale", "qty_scale"]
 DEPTH_FIELDS = ["depth", *BBO_FIELDS]
@@ -102,6 +99,10 @@ class Segments:
         """Trades ever published to a log."""
         return self._read(name, "header").first().head
 
+    def batch(self, name: str) -> int:
+        """The last batch of a paced replay that is in a segment; -1 if none wrote it."""
+        return self._read(name, "header").first().batch
+
     def drain(self, name: str, after: int) -> tuple[DataFrame, int, int]:
         """Trades of a log from slot `after` on, the number overwritten unread, and where to read on."""
         return ring.drain(self.read(name), after, self.head(name), self.header(name).capacity)
@@ -113,19 +114,19 @@ class Segments:
             raise ReplayError(Error.SEGMENT_MISMATCH, f"{name}: {state.value}")
         return state
 
-    def _write(self, name: str, layout: str, rows: DataFrame, head: int, header: Header | None = None) -> None:
+    def _write(self, name: str, layout: str, rows: DataFrame, head: int, batch: int = -1, header: Header | None = None) -> None:
         own = name.strip("/")
         store, path = self._path(own)
         tried = [int(s.getPath().getName()) for s in store.listStatus(path) if s.getPath().getName().isdigit()] if store.exists(path) else []
         version = max(tried, default=0) + 1
         rows.write.parquet(f"{self.root}/{own}/{version}/rows")
-        line = self.spark.createDataFrame([{**asdict(header or HEADERS[layout]), "head": head}], "magic long, layout_version int, kind int, entry_size int, capacity int, schema_hash string, created_ns long, head long")
+        line = self.spark.createDataFrame([{**asdict(header or HEADERS[layout]), "head": head, "batch": batch}], "magic long, layout_version int, kind int, entry_size int, capacity int, schema_hash string, created_ns long, head long, batch long")
         line.coalesce(1).write.parquet(f"{self.root}/{own}/{version}/header")
         for old in tried:
             if old < version - 1:
                 store.delete(self._path(own, str(old))[1], True)
 
-    def write_board(self, name: str, layout: str, new: DataFrame, create: bool = True) -> None:
+    def write_board(self, name: str, layout: str, new: DataFrame, create: bool = True, batch: int = -1) -> None:
         """A board of all symbols, zero where nothing was written. new: rows of boards.board() by lid, claimed against best()
         unless create. Attaching keeps slots that got nothing and counts seq on."""
         wanted = BBO_FIELDS if layout == "bbo" else DEPTH_FIELDS
@@ -146,13 +147,13 @@ class Segments:
         rows = rows.select("*", F.when(F.col("seq") > 0, F.col("lid")).otherwise(0).alias("symbol_lid"))
         if layout == "bbo":  # latencies and path are those of live feeds
             rows = rows.withColumns({"kernel_t": F.lit(0), "shm_t": F.lit(0), "e_t": F.lit(0), "path_idx": F.lit(0)})
-        self._write(name, layout, rows.orderBy("lid"), 0)
+        self._write(name, layout, rows.orderBy("lid"), 0, batch)
 
     def best(self, name: str) -> DataFrame:
         """(lid, best_uid) of an existing board."""
         return self.read(name).where("best_uid > 0").select("lid", "best_uid")
 
-    def write_trades(self, name: str, trades: DataFrame, create: bool = True) -> int:
+    def write_trades(self, name: str, trades: DataFrame, create: bool = True, batch: int = -1) -> int:
         """A log's last entries. trades: one unit's, in merge order columns. Attaching goes on at the existing head. Returns
         the trades published by this call."""
         capacity = HEADERS["trade"].capacity
@@ -166,5 +167,5 @@ class Segments:
         if old is not None:
             last = last.unionByName(old, allowMissingColumns=True).where(F.col("slot") >= first + count - capacity)
         rows = last.select("slot", (F.col("slot") % capacity).cast("int").alias("ring_idx"), (2 * F.col("slot")).alias("seq"), *TRADE_FIELDS)
-        self._write(name, "trade", rows.orderBy("slot"), first + count)
+        self._write(name, "trade", rows.orderBy("slot"), first + count, batch)
         return count

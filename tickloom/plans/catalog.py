@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import depth, fixed, times
-from ..functions.symbols import SYMBOLS, gid_of, symbol_table, to_gid
+from ..functions.symbols import gid_of, symbol_table, to_gid
 from ..operators import boards, merge, rejects, ring
-from ..operators.scans import position
+from ..operators.scans import bounds_of, chunk_by, position
 from ..sources.csv_ticks import tokenize
 from ..sources.jsonl_ticks import json_trades
+from . import catalog_files
+from .sql import END, FRAC, GOOD, MANT, SPOILED, START, TICKS, U32, frac_length, with_
 from .ticks import books, chunk_of_rows, chunk_of_time, spoiled, ticks, trades
 
-#: 2024-01-05 and 2024-01-20 (UTC), a window for queries.
-START, END = 1_704_412_800 * 10**9, 1_705_708_800 * 10**9
+#: Windows of queries over two units.
 WINDOWS = {0: (START, END), 1: (times.NO_START, END)}
 
 
@@ -25,13 +26,13 @@ def _emitted(spark: SparkSession, sf_dir: str, windows=None) -> DataFrame:
 
 
 def _claimed(spark, sf_dir, windows=None, best=None) -> DataFrame:
-    return boards.claim(_emitted(spark, sf_dir, windows), best=best, chunk=chunk_of_time())
+    return boards.claim(_emitted(spark, sf_dir, windows), best=best, chunk=chunk_of_time(spark, sf_dir))
 
 
 def bbo_board(spark, sf_dir):
     """The latest accepted one-level quote of each unit and symbol."""
     good = books(ticks(spark, sf_dir, heavy=True)).where("reason IS NULL")
-    claimed = boards.claim(merge.emitted(good, WINDOWS, chunk_of_rows()), chunk=chunk_of_time())
+    claimed = boards.claim(merge.emitted(good, WINDOWS, chunk_of_rows()), chunk=chunk_of_time(spark, sf_dir))
     fields = ["bid_px", "bid_qty", "ask_px", "ask_qty", "price_scale", "qty_scale"]
     return boards.board(claimed, fields)
 
@@ -57,20 +58,21 @@ def segment_attach(spark, sf_dir):
 
 
 def depth_board(spark, sf_dir):
-    """Books of up to five levels from the line items of an order; all levels share a scale. One row for each level."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_linenumber <= 5")
-    levels = items.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_extendedprice").cast("string").alias("p"), F.col("l_quantity").cast("string").alias("q")))).alias("levels")
-    ).where((F.size("levels") == 5) & (F.size(F.array_distinct(F.transform("levels", lambda x: x["l_linenumber"]))) == 5))
+    """Books from all line items of an order, line k as level k - 1, where their number is a depth that books have; all levels
+    share a scale. One row for each level."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    level = F.struct((F.col("l_linenumber") - 1).alias("level"), F.col("l_extendedprice").cast("string").alias("p"), F.col("l_quantity").cast("string").alias("q"))
+    levels = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(level)).alias("levels"))
     of = lambda f: F.transform("levels", lambda x: x[f])
-    px, qty = fixed.encode_group(of("p")), fixed.encode_group(of("q"))
-    rows = levels.withColumns({"px": px, "qty": qty}).where("px.status = 'ok' AND qty.status = 'ok'").select(
+    levels = levels.withColumn("depth", depth.book_depth_column(F.filter(of("level"), lambda k: k > 0))).where((F.col("depth") == F.size("levels")) & (F.get(of("level"), F.lit(0)) == 0))
+    rows = levels.withColumns({"px": fixed.encode_group(of("p")), "qty": fixed.encode_group(of("q"))}).where("px.status = 'ok' AND qty.status = 'ok'").select(
         F.lit(0).alias("unit"), F.lit(0).alias("src"), F.col("l_orderkey").alias("row_no"), F.col("l_orderkey").alias("ts_ns"), F.col("l_orderkey").alias("merge_ts"),
-        (F.col("l_orderkey") % 27).cast("int").alias("lid"), (F.col("l_orderkey") * 7919 % 100003).alias("update_id"), F.lit(5).alias("depth"),
+        (F.col("l_orderkey") % 27).cast("int").alias("lid"), (F.col("l_orderkey") * 7919 % 100003).alias("update_id"), "depth",
         F.col("px.scale").alias("price_scale"), F.col("qty.scale").alias("qty_scale"), F.col("px.mantissas").alias("bid_px"), F.col("qty.mantissas").alias("bid_qty"),
         F.col("px.mantissas").alias("ask_px"), F.col("qty.mantissas").alias("ask_qty"),
     )
-    claimed = boards.claim(boards.padded_levels(rows), chunk=F.floor(F.col("merge_ts") / 1_000_000))
+    orders = bounds_of(items.where("l_linenumber = 1").select("l_orderkey"), "l_orderkey")
+    claimed = boards.claim(boards.padded_levels(rows), chunk=chunk_by(orders, F.col("merge_ts")))
     won = boards.board(claimed, ["depth", "price_scale", "qty_scale", "bid_px", "bid_qty"])
     out = won.select("lid", "seq", "update_id", "depth", "price_scale", "qty_scale", F.posexplode(F.arrays_zip("bid_px", "bid_qty")).alias("level", "x"))
     return out.select("lid", "seq", "update_id", "depth", "price_scale", "qty_scale", "level", F.col("x.bid_px").alias("bid_px"), F.col("x.bid_qty").alias("bid_qty"))
@@ -78,7 +80,7 @@ def depth_board(spark, sf_dir):
 
 def merge_order(spark, sf_dir):
     """The place of every emitted row in the global order."""
-    return position(_emitted(spark, sf_dir), [], merge.ORDER, "place", chunk_of_time()).select("row_no", "src", "merge_ts", "place")
+    return position(_emitted(spark, sf_dir), [], merge.ORDER, "place", chunk_of_time(spark, sf_dir)).select("row_no", "src", "merge_ts", "place")
 
 
 def unit_window(spark, sf_dir):
@@ -221,108 +223,78 @@ QUERIES = {
     )
 }
 
-_NAMES = ", ".join(f"'{s}'" for s in [*SYMBOLS, "UNK27", "UNK28", "UNK29"])
-_U32 = fixed.U32_MAX
-_TICKS = f"""
-t AS (
-  SELECT CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INT) AS src, CAST((dense_rank() OVER (ORDER BY event_type) - 1) % 2 AS INT) AS unit,
-         event_id AS row_no, epoch_us(ts) * 1000 - event_id % 5 * 3600000000000 AS ts_ns,
-         [{_NAMES}][user_id % 30 + 1] AS symbol, CAST(user_id % 30 AS INT) AS gid, event_id * 7919 % 10007 AS update_id,
-         CAST(value AS VARCHAR) AS px, json_extract_string(props, '$.k') AS qty, event_id % 3 AS side
-  FROM events)"""
-_GOOD = _TICKS + """,
-g AS (SELECT *, gid AS lid, max(ts_ns) OVER (PARTITION BY src ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS merge_ts FROM t WHERE gid < 27)"""
-_ALL = _GOOD + ", e AS (SELECT * FROM g)"
-_WIN = _GOOD + f", e AS (SELECT * FROM g WHERE merge_ts <= {END} AND (unit = 1 OR ts_ns >= {START}))"
+_ALL = GOOD + ", e AS (SELECT * FROM g)"
+_WIN = GOOD + f", e AS (SELECT * FROM g WHERE merge_ts <= {END} AND (unit = 1 OR ts_ns >= {START}))"
 _CLAIM = """,
 c AS (SELECT *, update_id > coalesce(max(update_id) OVER (PARTITION BY unit, lid ORDER BY merge_ts, src, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS accepted FROM e)"""
 
 
-def _with(ctes: str, select: str) -> str:
-    return f"WITH {ctes.strip()}\n{select}"
-
-
-_FRAC = "rtrim(CASE WHEN strpos({v}, '.') > 0 THEN substr({v}, strpos({v}, '.') + 1) ELSE '' END, '0')"
-_MANT = "TRY_CAST(split_part({v}, '.', 1) || rpad(left(CASE WHEN strpos({v}, '.') > 0 THEN substr({v}, strpos({v}, '.') + 1) ELSE '' END, {s}), CAST({s} AS INT), '0') AS HUGEINT)"
-
-
-def _frac(v: str) -> str:
-    return f"length({_FRAC.format(v=v)})"
-
-
-_LONG = _TICKS + ", p AS (SELECT *, px || lpad(CAST(row_no % 100000 AS VARCHAR), 5, '0') AS lp FROM t)"
-_SPOILED = _TICKS + """,
-s AS (SELECT *, row_no % 83 = 0 AS bad_ts, CASE WHEN row_no % 97 = 0 THEN '6x.8' WHEN row_no % 89 = 0 THEN '-1' ELSE px END AS spx,
-             CASE WHEN row_no % 79 = 0 THEN '5000000000' WHEN row_no % 73 = 0 THEN '' ELSE qty END AS sqty FROM t),
-r AS (SELECT *, CASE WHEN bad_ts THEN 'bad_ts' WHEN side > 1 THEN 'bad_field' WHEN gid >= 27 THEN 'unknown_symbol' WHEN spx IN ('6x.8', '-1') THEN 'bad_number'
-                     WHEN sqty = '' THEN 'bad_number' WHEN sqty = '5000000000' THEN 'scale_overflow' END AS reason FROM s)"""
-
+_LONG = TICKS + ", p AS (SELECT *, px || lpad(CAST(row_no % 100000 AS VARCHAR), 5, '0') AS lp FROM t)"
 SQL = {
-    "bbo_board": _with(_WIN + _CLAIM, """
+    "bbo_board": with_(_WIN + _CLAIM, """
 , b AS (SELECT unit, lid, 2 * count(*) AS seq, arg_max(ts_ns, update_id) AS exch_ns, max(update_id) AS update_id, arg_max(px, update_id) AS px, arg_max(qty, update_id) AS qty
         FROM c WHERE accepted GROUP BY unit, lid),
 d AS (SELECT *, split_part(px, '.', 2) AS f FROM b)
 SELECT unit, lid, seq, exch_ns, update_id, CAST(split_part(px, '.', 1) || rpad(f, CAST(length(f) + 1 AS INT), '0') AS BIGINT) AS bid_px, CAST(qty AS BIGINT) AS bid_qty,
        CAST(split_part(px, '.', 1) || f || '5' AS BIGINT) AS ask_px, CAST(qty AS BIGINT) AS ask_qty, CAST(length(f) + 1 AS INT) AS price_scale, 0 AS qty_scale, update_id AS best_uid FROM d"""),
-    "board_latest": _with(_WIN, """
+    "board_latest": with_(_WIN, """
 , b AS (SELECT unit, lid, arg_max(ts_ns, update_id) AS exch_ns, max(update_id) AS update_id, arg_max(px, update_id) AS px FROM e WHERE update_id > 0 GROUP BY unit, lid),
 d AS (SELECT *, split_part(px, '.', 2) AS f FROM b)
 SELECT unit, lid, exch_ns, update_id, CAST(split_part(px, '.', 1) || rpad(f, CAST(length(f) + 1 AS INT), '0') AS BIGINT) AS bid_px, CAST(split_part(px, '.', 1) || f || '5' AS BIGINT) AS ask_px,
        CAST(length(f) + 1 AS INT) AS price_scale, update_id AS best_uid FROM d"""),
-    "dedup_counts": _with(_ALL + _CLAIM, "SELECT unit, count(*) AS emitted, count(*) FILTER (WHERE accepted) AS accepted, count(*) FILTER (WHERE NOT accepted) AS deduped FROM c GROUP BY unit"),
-    "best_update_id": _with(_ALL, "SELECT unit, lid, max(update_id) AS best_uid FROM e GROUP BY unit, lid"),
-    "segment_attach": _with(_WIN, """
+    "dedup_counts": with_(_ALL + _CLAIM, "SELECT unit, count(*) AS emitted, count(*) FILTER (WHERE accepted) AS accepted, count(*) FILTER (WHERE NOT accepted) AS deduped FROM c GROUP BY unit"),
+    "best_update_id": with_(_ALL, "SELECT unit, lid, max(update_id) AS best_uid FROM e GROUP BY unit, lid"),
+    "segment_attach": with_(_WIN, """
 , f AS (SELECT unit, lid, max(update_id) AS floor FROM e GROUP BY unit, lid),
 c AS (SELECT g.*, update_id > greatest(coalesce(max(update_id) OVER (PARTITION BY unit, lid ORDER BY merge_ts, src, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), coalesce(floor, 0)) AS accepted
       FROM g LEFT JOIN f USING (unit, lid))
 SELECT unit, lid, 2 * count(*) AS seq, max(update_id) AS update_id, arg_max(ts_ns, update_id) AS exch_ns, arg_max(px, update_id) AS px FROM c WHERE accepted GROUP BY unit, lid"""),
     "depth_board": f"""
-WITH i AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_extendedprice AS VARCHAR) AS p, CAST(l_quantity AS VARCHAR) AS q FROM lineitem WHERE l_linenumber <= 5),
-h AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY k) = 5 THEN bit_count(bit_or(1 << n) OVER (PARTITION BY k)) END AS levels, max({_frac('p')}) OVER (PARTITION BY k) AS ps, max({_frac('q')}) OVER (PARTITION BY k) AS qs FROM i),
-o AS (SELECT DISTINCT k, CAST(k % 27 AS INT) AS lid, k * 7919 % 100003 AS update_id FROM h WHERE levels = 5),
+WITH i AS (SELECT l_orderkey AS k, l_linenumber - 1 AS n, CAST(l_extendedprice AS VARCHAR) AS p, CAST(l_quantity AS VARCHAR) AS q FROM lineitem),
+o AS (SELECT k, CAST(k % 27 AS INT) AS lid, k * 7919 % 100003 AS update_id, CAST(count(*) AS INT) AS depth, max({frac_length('p')}) AS ps, max({frac_length('q')}) AS qs FROM i GROUP BY k
+      HAVING count(*) IN (1, 5, 10, 15, 20, 25) AND count(DISTINCT n) = count(*) AND min(n) = 0 AND max(n) = count(*) - 1),
 c AS (SELECT *, update_id > coalesce(max(update_id) OVER (PARTITION BY lid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS accepted FROM o),
-w AS (SELECT lid, 2 * count(*) AS seq, max(update_id) AS update_id, arg_max(k, update_id) AS k FROM c WHERE accepted GROUP BY lid),
-l AS (SELECT w.*, unnest(range(25)) AS level FROM w),
-s AS (SELECT l.*, p, q, any_value(ps) OVER (PARTITION BY lid) AS ps, any_value(qs) OVER (PARTITION BY lid) AS qs FROM l LEFT JOIN h ON h.k = l.k AND h.n = l.level + 1)
-SELECT lid, seq, update_id, 5 AS depth, CAST(ps AS INT) AS price_scale, CAST(qs AS INT) AS qty_scale, CAST(level AS INT) AS level,
-       coalesce(CAST({_MANT.format(v='p', s='ps')} AS BIGINT), 0) AS bid_px,
-       coalesce(CAST({_MANT.format(v='q', s='qs')} AS BIGINT), 0) AS bid_qty FROM s""",
-    "merge_order": _with(_ALL, "SELECT row_no, src, merge_ts, row_number() OVER (ORDER BY merge_ts, src, row_no) - 1 AS place FROM e"),
-    "unit_window": _with(_WIN, "SELECT unit, src, row_no, ts_ns, merge_ts FROM e"),
-    "unit_routing": _with(_WIN, "SELECT unit, count(*) AS rows, min(merge_ts) AS first_ns, max(merge_ts) AS last_ns, CAST(sum(update_id) AS BIGINT) AS uid_sum FROM e GROUP BY unit"),
-    "encode_price": _with(_LONG, f"""
-, k AS (SELECT row_no, lp, unnest(range({_frac('lp')} + 1)) AS s FROM p), m AS (SELECT row_no, s, {_MANT.format(v='lp', s='s')} AS m FROM k)
-SELECT row_no, CAST(max(s) AS INT) AS scale, CAST(arg_max(m, s) AS BIGINT) AS mantissa FROM m WHERE m <= {_U32} GROUP BY row_no"""),
-    "encode_group": _with(_LONG, f"""
-, k AS (SELECT row_no, lp, px, qty, unnest(range(greatest({_frac('lp')}, {_frac('px')}, {_frac('qty')}) + 1)) AS s FROM p),
-m AS (SELECT row_no, s, {_MANT.format(v='lp', s='s')} AS m0, {_MANT.format(v='px', s='s')} AS m1, {_MANT.format(v='qty', s='s')} AS m2 FROM k)
+w AS (SELECT lid, 2 * count(*) AS seq, max(update_id) AS update_id, arg_max(k, update_id) AS k, arg_max(depth, update_id) AS depth, arg_max(ps, update_id) AS ps, arg_max(qs, update_id) AS qs FROM c WHERE accepted GROUP BY lid),
+l AS (SELECT w.*, unnest(range(25)) AS level FROM w)
+SELECT lid, seq, update_id, depth, CAST(ps AS INT) AS price_scale, CAST(qs AS INT) AS qty_scale, CAST(level AS INT) AS level,
+       coalesce(CAST({MANT.format(v='p', s='ps')} AS BIGINT), 0) AS bid_px,
+       coalesce(CAST({MANT.format(v='q', s='qs')} AS BIGINT), 0) AS bid_qty FROM l LEFT JOIN i ON i.k = l.k AND i.n = l.level""",
+    "merge_order": with_(_ALL, "SELECT row_no, src, merge_ts, row_number() OVER (ORDER BY merge_ts, src, row_no) - 1 AS place FROM e"),
+    "unit_window": with_(_WIN, "SELECT unit, src, row_no, ts_ns, merge_ts FROM e"),
+    "unit_routing": with_(_WIN, "SELECT unit, count(*) AS rows, min(merge_ts) AS first_ns, max(merge_ts) AS last_ns, CAST(sum(update_id) AS BIGINT) AS uid_sum FROM e GROUP BY unit"),
+    "encode_price": with_(_LONG, f"""
+, k AS (SELECT row_no, lp, unnest(range({frac_length('lp')} + 1)) AS s FROM p), m AS (SELECT row_no, s, {MANT.format(v='lp', s='s')} AS m FROM k)
+SELECT row_no, CAST(max(s) AS INT) AS scale, CAST(arg_max(m, s) AS BIGINT) AS mantissa FROM m WHERE m <= {U32} GROUP BY row_no"""),
+    "encode_group": with_(_LONG, f"""
+, k AS (SELECT row_no, lp, px, qty, unnest(range(greatest({frac_length('lp')}, {frac_length('px')}, {frac_length('qty')}) + 1)) AS s FROM p),
+m AS (SELECT row_no, s, {MANT.format(v='lp', s='s')} AS m0, {MANT.format(v='px', s='s')} AS m1, {MANT.format(v='qty', s='s')} AS m2 FROM k)
 SELECT row_no, 'ok' AS status, CAST(max(s) AS INT) AS scale, CAST(arg_max(m0, s) AS BIGINT) AS m0, CAST(arg_max(m1, s) AS BIGINT) AS m1, CAST(arg_max(m2, s) AS BIGINT) AS m2
-FROM m WHERE greatest(m0, m1, m2) <= {_U32} GROUP BY row_no"""),
-    "decode_decimal": _with(_TICKS, """
+FROM m WHERE greatest(m0, m1, m2) <= {U32} GROUP BY row_no"""),
+    "decode_decimal": with_(TICKS, """
 , d AS (SELECT row_no, CAST(row_no % 6 AS INT) AS s, lpad(CAST(update_id AS VARCHAR), CAST(greatest(length(CAST(update_id AS VARCHAR)), row_no % 6 + 1) AS INT), '0') AS x FROM t)
 SELECT row_no, CASE WHEN s = 0 THEN x ELSE left(x, length(x) - s) || '.' || right(x, s) END AS text FROM d"""),
-    "symbol_lookup": _with(_TICKS, "SELECT symbol, CASE WHEN gid < 27 THEN gid END AS gid, count(*) AS rows, CASE WHEN gid < 27 THEN gid ELSE -1 END AS global_id FROM t GROUP BY symbol, gid"),
-    "unknown_symbols": _with(_TICKS, "SELECT symbol, min(row_no) AS first_row, count(*) AS rows FROM t WHERE gid >= 27 GROUP BY symbol"),
-    "skip_counts": _with(_SPOILED, "SELECT reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY reason"),
-    "skip_counts_windowed": _with(_SPOILED, f"""
+    "symbol_lookup": with_(TICKS, "SELECT symbol, CASE WHEN gid < 27 THEN gid END AS gid, count(*) AS rows, CASE WHEN gid < 27 THEN gid ELSE -1 END AS global_id FROM t GROUP BY symbol, gid"),
+    "unknown_symbols": with_(TICKS, "SELECT symbol, min(row_no) AS first_row, count(*) AS rows FROM t WHERE gid >= 27 GROUP BY symbol"),
+    "skip_counts": with_(SPOILED, "SELECT reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY reason"),
+    "skip_counts_windowed": with_(SPOILED, f"""
 , m AS (SELECT src, row_no, max(ts_ns) OVER (PARTITION BY src ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS merge_ts FROM r WHERE reason IS NULL),
 q AS (SELECT src, row_no, row_number() OVER (PARTITION BY src ORDER BY row_no) AS n FROM m WHERE merge_ts > {END}),
 z AS (SELECT src, row_no AS second FROM q WHERE n = 2)
 SELECT reason, count(*) AS rows FROM r LEFT JOIN z USING (src) WHERE reason IS NOT NULL AND (second IS NULL OR row_no < second) GROUP BY reason"""),
-    "trade_encoding": _with(_SPOILED, f"""
-SELECT row_no, gid, CAST(split_part(spx, '.', 1) || {_FRAC.format(v='spx')} AS BIGINT) AS px_m, CAST({_frac('spx')} AS INT) AS px_scale, CAST(sqty AS BIGINT) AS qty_m, 0 AS qty_scale FROM r WHERE reason IS NULL"""),
-    "trade_ring_tail": _with(_ALL, """
+    "trade_encoding": with_(SPOILED, f"""
+SELECT row_no, gid, CAST(split_part(spx, '.', 1) || {FRAC.format(v='spx')} AS BIGINT) AS px_m, CAST({frac_length('spx')} AS INT) AS px_scale, CAST(sqty AS BIGINT) AS qty_m, 0 AS qty_scale FROM r WHERE reason IS NULL"""),
+    "trade_ring_tail": with_(_ALL, """
 , n AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY merge_ts, src, row_no) - 1 AS slot, count(*) OVER (PARTITION BY unit) AS head FROM e)
 SELECT unit, slot, CAST(slot % 4096 AS INT) AS ring_idx, 2 * slot AS seq, ts_ns AS exch_ns, lid AS gid, px FROM n WHERE slot >= head - 4096"""),
-    "ring_drain": _with(_ALL, """
+    "ring_drain": with_(_ALL, """
 , n AS (SELECT *, row_number() OVER (ORDER BY merge_ts, src, row_no) - 1 AS slot, count(*) OVER () AS head FROM e WHERE unit = 0)
 SELECT count(*) AS delivered, min(slot) AS first_slot, max(slot) AS last_slot, CAST(sum(update_id) AS BIGINT) AS uid_sum, any_value(greatest(0, head - 100 - 4096)) AS lapped, any_value(head) AS next_slot
 FROM n WHERE slot >= greatest(100, head - 4096)"""),
-    "ring_wraps": _with(_ALL, "SELECT unit, count(*) AS published, CASE WHEN count(*) > 512 THEN count(*) // 512 ELSE 0 END AS wraps FROM e GROUP BY unit"),
-    "pace_offsets": _with(_GOOD, f"""
+    "ring_wraps": with_(_ALL, "SELECT unit, count(*) AS published, CASE WHEN count(*) > 512 THEN count(*) // 512 ELSE 0 END AS wraps FROM e GROUP BY unit"),
+    "pace_offsets": with_(GOOD, f"""
 , e AS (SELECT * FROM g WHERE merge_ts <= {END} AND ts_ns >= {START}), z AS (SELECT min(merge_ts) AS ts0 FROM e)
 SELECT row_no, greatest(0, CAST(trunc(CAST(ts_ns - ts0 AS DOUBLE) * 0.5) AS BIGINT)) AS offset_ns FROM e, z"""),
-    "replay_summary": _with(_WIN + _CLAIM, """
+    "replay_summary": with_(_WIN + _CLAIM, """
 SELECT unit, count(*) AS emitted, count(*) FILTER (WHERE accepted) AS accepted, count(*) FILTER (WHERE NOT accepted) AS deduped, count(DISTINCT lid) AS symbols, max(merge_ts) AS last_ns FROM c GROUP BY unit"""),
     "csv_tokenize": """
 SELECT event_id, CASE WHEN event_id % 4 = 3 THEN 2 ELSE 4 END AS fields,
@@ -332,14 +304,16 @@ SELECT event_id, CASE WHEN event_id % 4 = 3 THEN 2 ELSE 4 END AS fields,
 WITH k AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'malformed' WHEN event_id % 13 = 0 THEN 'bad_field' WHEN event_id % 17 = 0 THEN 'bad_field' WHEN event_id % 19 = 0 THEN 'malformed' END AS reason FROM events)
 SELECT event_id AS row_no, reason, CASE WHEN reason IS NULL THEN event_id END AS ts_ns, CASE WHEN reason IS NULL THEN event_id % 2 END AS side,
        CASE WHEN reason IS NULL THEN CAST(split_part(CAST(value AS VARCHAR), '.', 1) || {f} AS BIGINT) END AS px, CASE WHEN reason IS NULL THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS qty,
-       CASE WHEN reason IS NULL THEN CAST(length({f}) AS INT) END AS price_scale FROM k""".replace("{f}", _FRAC.format(v="CAST(value AS VARCHAR)")),
+       CASE WHEN reason IS NULL THEN CAST(length({f}) AS INT) END AS price_scale FROM k""".replace("{f}", FRAC.format(v="CAST(value AS VARCHAR)")),
     "depth_detect": """
 WITH k AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS n, max(l_linenumber) AS m FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey, CASE WHEN n = m AND n + 1 IN (1, 5, 10, 15, 20, 25) THEN CAST(n + 1 AS INT) END AS depth, CAST(m AS INT) AS highest FROM k""",
-    "depth_agreement": _with(_ALL, """
+    "depth_agreement": with_(_ALL, """
 , f AS (SELECT src, CASE WHEN arg_min(lid, row_no) % 2 = 0 THEN 1 ELSE 5 END AS depth FROM e GROUP BY src)
 SELECT count(*) AS sources, min(depth) AS least, max(depth) AS most, min(depth) = max(depth) AS agree FROM f"""),
-    "strict_int": _with(_TICKS, """
+    "strict_int": with_(TICKS, """
 SELECT row_no, CASE WHEN row_no % 7 = 2 THEN -CAST(qty AS BIGINT) WHEN row_no % 7 > 4 THEN CAST(qty AS BIGINT) END AS i64,
        CASE WHEN row_no % 7 > 4 THEN CAST(CAST(qty AS BIGINT) AS VARCHAR) END AS u64 FROM t"""),
 }
+QUERIES |= catalog_files.QUERIES
+SQL |= catalog_files.SQL

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import logging
 import sys
-import tempfile
 
 from ..errors import ReplayError
 from .config import LEVELS, Config, load_config, overridden
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         from pyspark.sql import SparkSession
 
+        from ..operators.stored import work_dir
         from ..streaming.paced import PacedReplay, Stopper
 
         spark = SparkSession.builder.appName("tickloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -45,8 +46,9 @@ def main(argv: list[str] | None = None) -> int:
 
             run(spark, cfg, args.segments)
         else:
-            work = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
-            PacedReplay(spark, cfg, args.segments, f"{work}/{spark.sparkContext.applicationId}").play(Stopper().install())
+            # The job's own name, so that the driver after one that died finds its journal.
+            name = hashlib.sha1(repr((cfg, args.segments)).encode()).hexdigest()
+            PacedReplay(spark, cfg, args.segments, f"{work_dir(spark)}/paced-{name}").play(Stopper().install())
         return 0
     except ReplayError as e:
         logging.error("%s", e)

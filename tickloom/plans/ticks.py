@@ -47,10 +47,12 @@ def chunk_of_rows() -> Column:
     return F.floor(F.col("row_no") / CHUNK_ROWS)
 
 
-def chunk_of_time() -> Column:
-    from ..operators.scans import CHUNK_NS
+def chunk_of_time(spark: SparkSession, sf_dir: str) -> Column:
+    """Chunks of the merged order with about as many events each: the bounds come from one column of the table."""
+    from ..operators.scans import bounds_of, chunk_by
 
-    return F.floor(F.col("merge_ts") / CHUNK_NS)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return chunk_by(bounds_of(events.select((F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("t")), "t"), F.col("merge_ts"))
 
 
 def books(rows: DataFrame) -> DataFrame:

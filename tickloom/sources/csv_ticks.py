@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,8 @@ from .discover import first_line
 from .lines import read_lines
 from .records import book_records, trade_records
 
+#: Headers that are read at a time.
+READERS = 32
 #: After each comma (one is put in front of the line): a quoted field with what stands behind its closing quote, a plain
 #: field, or nothing. A quote opens a field only as its first character; without a closing quote it takes the rest.
 FIELD = r',("[^"]*+(?:""[^"]*+)*+(?:"[^,]*|\z)|[^",][^,]*|)'
@@ -87,14 +90,18 @@ def parsed(lines: DataFrame, columns: Columns, kind: str) -> DataFrame:
 
 
 def usable(spark: SparkSession, paths: Sequence[str], kind: str) -> tuple[list[tuple[str, Columns]], list[tuple[str, ReplayError]]]:
-    """Files with a good header and their columns; files to be skipped and why."""
-    good, bad = [], []
-    for path in paths:
+    """Files with a good header and their columns; files to be skipped and why. READERS first lines are fetched at a time, and
+    nothing else of the files."""
+
+    def of(path: str) -> Columns | ReplayError:
         try:
-            good.append((path, resolve(first_line(spark, path), kind)))
+            return resolve(first_line(spark, path), kind)
         except ReplayError as e:
-            bad.append((path, e))
-    return good, bad
+            return e
+
+    with ThreadPoolExecutor(READERS) as pool:
+        found = list(zip(paths, pool.map(of, paths)))
+    return [(p, c) for p, c in found if isinstance(c, Columns)], [(p, e) for p, e in found if isinstance(e, ReplayError)]
 
 
 def read_csv(spark: SparkSession, files: Sequence[tuple[int, int, str, Columns]], kind: str) -> DataFrame:

@@ -4,6 +4,8 @@ A rate source is the clock. Each micro-batch covers a stretch of wall time since
 (ts - ts0) * realtime, go to the units' segments. The stretch of a batch is written down before its rows are, so a batch that
 runs again after a failure covers the same rows, and attaching to a segment drops what is there already by update id. The
 targets are absolute: a slow batch doesn't shift later ones. Order and content are exact; timing is as fine as micro-batches.
+A segment's header tells the last batch in it, so trades aren't published twice either. A driver that died is followed by one
+that finds the journal under the job's name and goes on behind its last batch; a replay that ended removes it.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import offset_ns
 from ..operators.segments import Segments
+from ..operators.stored import deleted
 from ..plans.config import Config
 from ..plans.replay import Report, Unit, emitted, load, skips, write_unit
 
@@ -56,6 +59,18 @@ class Journal:
             return None
         return json.loads(self.spark.read.text(path.toString(), wholetext=True).first().value)
 
+    def last(self) -> int:
+        """The last batch written down, -1 if none."""
+        store, path = self._file("")
+        if not store.exists(path):
+            return -1
+        names = [s.getPath().getName() for s in store.listStatus(path)]
+        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=-1)
+
+    def clear(self) -> None:
+        store, path = self._file("")
+        store.delete(path, True)
+
     def put(self, batch: int, entry: dict) -> None:
         store, part = self._file(f".{batch}.part")
         stream = store.create(part, True)
@@ -96,14 +111,15 @@ class PacedReplay:
         for unit in self.units:
             due = self.rows[unit.number].where((F.col("due_ns") > entry["after"]) & (F.col("due_ns") <= entry["to"]))
             if batch == 0 or not due.isEmpty():
-                self._write(unit, due.drop("due_ns"), batch == 0 and unit.plan.output.create)
+                self._write(unit, due.drop("due_ns"), batch == 0 and unit.plan.output.create, batch)
         if self.cfg.progress_sec > 0 and time.monotonic() - self.last_log >= self.cfg.progress_sec:
-            log.info("replay: book=%d trade=%d skipped=%d to=%d (%.0f ev/s)", self.report.book, self.report.trade, sum(self.report.skipped.values()), self.ts0 + int(entry["to"] / (self.cfg.realtime or 1)), self.report.events_per_sec())
+            at = self.ts0 + int(entry["to"] / (self.cfg.realtime or 1))
+            log.info("at %d ns of the data: %d quotes, %d trades, %.0f rows a second", at, self.report.book, self.report.trade, self.report.events_per_sec())
             self.last_log = time.monotonic()
         return entry["to"] >= self.end
 
-    def _write(self, unit: Unit, rows: DataFrame, create: bool) -> None:
-        n, extra = write_unit(unit, rows, self.segments, create)
+    def _write(self, unit: Unit, rows: DataFrame, create: bool, batch: int) -> None:
+        n, extra = write_unit(unit, rows, self.segments, create, batch)
         if unit.layout == "trade":
             self.report.trade += n
         else:
@@ -118,9 +134,10 @@ class PacedReplay:
             else:
                 self._stream(stopper or Stopper())
             self.report.skipped, self.report.unknown = skips(self.units)
+            self.journal.clear()
         finally:
             for unit in self.units:
-                unit.records.unpersist()
+                deleted(self.spark, unit.folder)
         for line in self.report.lines():
             log.info(line)
         return self.report
@@ -132,8 +149,10 @@ class PacedReplay:
             now = clock.agg(F.max(F.unix_micros("timestamp"))).first()[0]
             if now is None or done.is_set() or stopper.requested():
                 return
-            number = start.setdefault("batches", 0)
-            zero = start.setdefault("zero", now)
+            # The last batch written down may not have been delivered whole: it comes first, with the stretch it had.
+            number = start.setdefault("batches", max(0, self.journal.last()))
+            before = self.journal.get(number - 1) if number else None
+            zero = start.setdefault("zero", now - (before["to"] // 1000 if before else 0))
             if self.deliver(number, (now - zero) * 1000):
                 done.set()
             start["batches"] = number + 1
