@@ -2,11 +2,12 @@ import corpus_pipeline as c
 from pyspark.sql import functions as F
 
 from tickloom.llm import quality
+from tickloom.llm.common import tables
 
 from .test_decontaminate import brute as brute_hits
 from .test_line_dedup import brute as brute_lines
 from .test_packing import holds
-from .test_simhash import want as brute_groups
+from .test_similar import want as brute_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +33,7 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     assert {i: r.text for i, r in rows[2].items()} == lines
 
     groups = brute_groups([(r.doc_id, r.text) for r in rows[2].values()])
-    assert set(rows[3]) == {g for _, _, g in groups} and all(rows[2][i] == r for i, r in rows[3].items())
+    assert set(rows[3]) == {g for _, g in groups} and all(rows[2][i] == r for i, r in rows[3].items())
 
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     changed = 0
@@ -46,8 +47,22 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     holds([tuple(r) for r in tables[-1].collect()], [(r.doc_id, r.text) for r in rows[4].values()])
 
 
+def test_columns_named_like_results_keep_their_values(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    own = ["score", "predicted", "n_lines", "n_dropped", "n_words", "n_hit", "item_ids", "Spans", "component_id", "fingerprint", "_row", "_raw", "row"]
+    at = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in own])
+    columns = at.columns
+    for name, stage in c.STAGES[:-1]:
+        stage(spark, at, SF).write.parquet(f"{tmp_path}/{name}")
+        at = spark.read.parquet(f"{tmp_path}/{name}")
+        assert at.columns == columns
+        assert at.where(" OR ".join(f"{n} != concat('{n}:', doc_id)" for n in own)).isEmpty() and not at.isEmpty()
+
+
 def test_run(spark):
+    before = tables()
     assert c.run(spark, SF).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert len(tables() - before) == 1  # the last stage's table
 
 
 def test_hard_rows(spark, tmp_path):

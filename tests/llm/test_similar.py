@@ -4,6 +4,7 @@ import corpus_pipeline as c
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.llm import simhash
 from tickloom.llm import similar as s
 
 
@@ -49,11 +50,21 @@ def test_groups_against_all_pairs(spark, monkeypatch, small, frequent):
     monkeypatch.setattr(s, "FREQUENT", frequent)
     rows = [*enumerate(texts(3, 40)), (-1, None), (-2, " "), (None, "one two"), (900, "ONE\ttwo"), (None, "alone")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("row", F.monotonically_increasing_id())
-    got = s.group_similar(c.written(docs, "docs"), "row")
-    assert got.columns == ["doc_id", "row", "component_id"]
+    got = simhash.group_near_copies(c.written(docs, "docs"), width=5, similarity=True, row_col="row")
+    assert got.columns == ["doc_id", "row", "fingerprint", "component_id"]
+    assert {r.fingerprint for r in got.where("doc_id = -1").collect()} == {"0" * 16}
     assert sorted([(r.doc_id, r.component_id) for r in got.collect()], key=str) == want(rows)
 
 
+def test_rows_without_a_number_and_clashing_columns(spark):
+    rows = [(1, "a b c d e f", 7), (2, "A b  c d e f", 8), (None, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long").withColumn("component_id", F.lit("x"))
+    got = simhash.group_near_copies(docs, width=5, similarity=True)
+    assert got.columns == ["doc_id", "row", "fingerprint", "component_id"]
+    assert sorted([(r.doc_id, r.row, r.component_id) for r in got.collect()], key=str) == [(1, 7, 1), (2, 8, 1), (None, 9, None)]
+    assert simhash.group_near_copies(docs.limit(0), width=5, similarity=True).count() == 0
+
+
 def test_stage_drops_a_near_copy_beyond_three_bits(spark):
     """Similarity 0.84 over five words, fingerprints of three words far more than 3 bits apart."""
     words = [f"w{i}" for i in range(60)]

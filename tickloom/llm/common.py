@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +51,27 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that written() returned and nothing reads any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in _of(df):
         _delete(df.sparkSession, folder)
+        _folders.pop(folder, None)
+
+
+def _of(df: DataFrame) -> set[str]:
+    """The folders of written() that df reads."""
+    read = {f.rsplit("/", 1)[0].split("://")[-1].removeprefix("file:") for f in df.inputFiles()}
+    return {f for f in _folders if f.split("://")[-1].removeprefix("file:") in read}
+
+
+def tables() -> set[str]:
+    """The folders that written() has made so far."""
+    return set(_folders)
+
+
+def kept_only(df: DataFrame, before: set[str]) -> None:
+    """Deletes what written() has made since `before` was taken from tables(), except the table df."""
+    for folder in set(_folders) - before - _of(df):
+        _delete(df.sparkSession, folder)
+        _folders.pop(folder, None)
 
 
 @atexit.register
@@ -63,6 +85,14 @@ def _clear() -> None:
             return
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batches; at their end the worker, which serves many tasks after this one, gives back the memory that it has freed."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else; the fast built-in serves texts of one byte a character."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

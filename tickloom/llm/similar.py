@@ -1,9 +1,11 @@
-"""Groups of texts whose sets of word shingles have a Jaccard similarity of 0.8 or more: an exact set join.
+"""Groups of texts whose sets of word shingles have a Jaccard similarity of 0.8 or more: SimHash links, confirmed and completed.
 
-Two sets of similarity SIMILAR share one of the first n - ceil(SIMILAR n) + 1 shingles (n: the set's size) in any order that is
-the same for all sets. Here the order is rare ones first, as a sample tells, then by hash. Texts that share such a shingle, with
-sizes and places that allow the similarity, are compared by their whole sets. Which shingles the sample finds frequent changes
-the number of comparisons and nothing else.
+Fingerprints of such texts may be many bits apart (2 to 11 on the test tables), further than a search in 64 bits can prune. So
+the forest of simhash.py proposes the pairs within its radius, which connect most large groups, and an exact set join finds the
+rest: two sets of similarity SIMILAR share one of the first n - ceil(SIMILAR n) + 1 shingles (n: the set's size) in any order
+that is the same for all sets. Here the order is rare ones first, as a sample tells, then by hash. Texts that share such a
+shingle, with sizes and places that allow the similarity, and aren't connected yet, are compared by their whole sets. Which
+shingles the sample finds frequent changes the number of comparisons and nothing else.
 
 Equal word sequences become one text first. A shingle that more than SMALL texts share is met twice: at first each text meets
 AHEAD others of nearest size, then, when these links have made components, all texts of other components.
@@ -12,41 +14,38 @@ AHEAD others of nearest size, then, when these links have made components, all t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import fits, fresh, written
-from .simhash import components
+from .common import fits, fresh, released, removed, written
+from .graph import components
+from .simhash import SHARD_ROWS, folded, near_links, shingle_hashes
 
 #: The similarity from which texts are near copies, as a fraction.
 TOP, BOTTOM = 4, 5
 #: Texts of the sample, in how many of them a shingle is frequent, and how many frequent ones are told to the executors at most.
 SAMPLE, FREQUENT, TOLD = 20_000, 3, 1 << 16
 #: Texts that share a shingle up to which all pairs meet at once, texts ahead that others meet at first, pairs of one numpy step.
-SMALL, AHEAD, STEP = 32, 4, 1 << 20
-#: Texts to compare up to which their keys go to the executors; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
-
-
-def shingles(text: bytes, width: int = 5) -> tuple[int, np.ndarray]:
-    """A hash of the text's words (as simhash.fingerprint reads them), and the sorted hashes of its different shingles."""
-    words = text.lower().split()
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if not words:
-        return digest(joined, 42), np.zeros(0, np.int64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.r_[0, ends[:-1] + 1]
-    if len(words) > width:
-        starts, ends = starts[: 1 - width], ends[width - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
-    return digest(joined, 7), np.unique(hashes.view(np.int64))
+SMALL, AHEAD, STEP = 4, 2, 1 << 20
+#: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each); more are
+#: joined by shuffle.
+BROADCAST_ROWS, BROADCAST_SHINGLES = 500_000, 500_000
+#: Bits of the sketch by which pairs are sieved before their sets are fetched, and of its folded form for often shared shingles.
+SKETCH, FOLDED = 1024, 256
+#: Of a set's size and a shingle's place in one long, the bits of the place.
+PLACE = 32
+
+
+def shingles(text: bytes, width: int = 5) -> tuple[int, np.ndarray, int]:
+    """A hash of the text's words, the sorted hashes of its different shingles, and its fingerprint."""
+    joined, hashes = shingle_hashes(text, width)
+    return xxhash.xxh64_intdigest(joined, 7), np.unique(hashes.view(np.int64)), folded(hashes)
 
 
 def leading(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -59,9 +58,9 @@ def leading(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarr
 
 
 def parities(own: np.ndarray) -> np.ndarray:
-    """256 bits: of the shingles that fall on each, whether their number is odd. Two sets differ in as many shingles at least
-    as their bits differ."""
-    odd = np.bincount(own & 255, minlength=256) & 1
+    """SKETCH bits: of the shingles that fall on each, whether their number is odd. Two sets differ in as many shingles at least
+    as their bits differ; so they do in FOLDED bits, each the parity of those that are FOLDED places apart."""
+    odd = np.bincount(own & SKETCH - 1, minlength=SKETCH) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -76,25 +75,26 @@ def _frequent(told: DataFrame, row: str, text: str, width: int) -> tuple[np.ndar
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column(0):
-                key, own = shingles(x.as_py() or b"", width)
+                key, own, _ = shingles(x.as_py() or b"", width)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), _signed(key))), pa.array(own)], names=["key", "shingle"])
 
-    pairs = told.where(F.pmod(F.xxhash64(row), F.lit(step)) == 0).select(F.col(text).cast("binary")).mapInArrow(cut, "key long, shingle long").distinct()
+    pairs = told.where(F.pmod(F.xxhash64(row), F.lit(step)) == 0).select(F.col(text).cast("binary")).mapInArrow(lambda it: released(cut(it)), "key long, shingle long").distinct()
     n = pairs.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(TOLD).toPandas()
     order = np.argsort(n["shingle"].to_numpy(np.int64))
     return n["shingle"].to_numpy(np.int64)[order], (len(n) - np.arange(len(n)))[order]
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of rows (shingle, n, place, key) that come sorted by shingle and n; if again, of rows that go on with root
-    and parities, and of different roots only."""
-    held: list[np.ndarray] = [np.zeros(0, np.int64)] * (9 if again else 4)
+    """Pairs (a, b) of rows (shingle, n and place, key) that come sorted by them; if again, of rows that go on with root and
+    parities, and of different roots only. At first, a shingle of many texts is told as (shingle, null)."""
+    held: list[list[np.ndarray]] = []
 
-    def solve(shingle, n, place, key, root=None, *bits):
-        if not len(shingle):
-            return
+    def solve(shingle, sized, key, root=None, *bits):
+        n, place = sized >> PLACE, sized & (1 << PLACE) - 1
         first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
         size = np.diff(np.r_[first, len(shingle)])
+        if not again and len(many := shingle[first[size > SMALL]]):
+            yield many, None
         last, size = np.repeat(first + size, size), np.repeat(size, size)
         left, step, found, held_pairs = np.arange(len(shingle)), 1, [], 0
         while len(left := left[(left + step < last[left]) & (again | (size[left] <= SMALL) | (step <= AHEAD))]):
@@ -112,41 +112,50 @@ def _meetings(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.Rec
             held_pairs += len(a)
             step += 1
             if held_pairs > STEP:
-                yield np.unique(np.concatenate(found), axis=0)
+                yield np.unique(np.concatenate(found), axis=0).T
                 found, held_pairs = [], 0
         if held_pairs:
-            yield np.unique(np.concatenate(found), axis=0)
+            yield np.unique(np.concatenate(found), axis=0).T
 
-    def out(columns):
-        for pairs in solve(*columns):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    def out():
+        if held:
+            for a, b in solve(*(np.concatenate(x) for x in zip(*held))):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)], names=["a", "b"])
 
     for batch in batches:
-        held = [np.r_[old, batch.column(i).to_numpy(zero_copy_only=False)] for i, old in enumerate(held)]
-        open_at = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-        yield from out([x[:open_at] for x in held])
-        held = [x[open_at:] for x in held]
-    yield from out(held)
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        open_at = int(np.searchsorted(rows[0], rows[0][-1]))  # the last shingle may go on in the next batch
+        if open_at or held and held[-1][0][-1] != rows[0][0]:
+            held.append([x[:open_at] for x in rows])
+            yield from out()
+            held = []
+        held.append([x[open_at:] for x in rows])
+    yield from out()
 
 
 def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text: str, width: int) -> DataFrame:
     """Those of the pairs (a, b) of keys whose whole sets are similar."""
-    of = lambda x: lead.select(F.col("key").alias(x), F.struct("n", "parities").alias(f"of_{x}"))
+    # Only the texts that pairs name are looked at from here on.
+    pairs = written(pairs.distinct(), "proposed")
+    keys = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    named = written(lead.join(F.broadcast(keys) if fits(keys, BROADCAST_ROWS) else keys.hint("merge"), "key", "left_semi"), "named")
+    of = lambda x: named.select(F.col("key").alias(x), F.struct("n", "parities").alias(f"of_{x}")).hint("merge")
     both_n = F.col("of_a.n") + F.col("of_b.n")
-    apart = sum((F.bit_count(F.col("of_a.parities")[i].bitwiseXOR(F.col("of_b.parities")[i])) for i in range(4)), F.lit(0))
+    apart = sum((F.bit_count(F.col("of_a.parities")[i].bitwiseXOR(F.col("of_b.parities")[i])) for i in range(SKETCH // 64)), F.lit(0))
     possible = apart <= both_n - 2 * F.ceil(both_n * TOP / (TOP + BOTTOM) - 1e-6)
-    pairs = written(pairs.distinct().join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b"), "pairs")
-    wanted = written(lead.select("key", row).join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"), "wanted")
-    if fits(wanted, BROADCAST_ROWS):
-        wanted = F.broadcast(wanted)
+    proposed, pairs = pairs, written(pairs.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b"), "pairs")
+    wanted = written(named.select("key", row).join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = pa.array([shingles(x.as_py() or b"", width)[1] for x in batch.column(1)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), own], names=["key", "own"])
 
-    texts = told.select(row, F.col(text).cast("binary").alias("text")).join(wanted, row).select("key", "text")
-    known = written(texts.mapInArrow(sets, "key long, own array<long>"), "sets")
+    chosen = F.broadcast(wanted) if fits(wanted, BROADCAST_ROWS) else wanted.hint("merge")
+    texts = told.select(row, F.col(text).cast("binary").alias("text")).join(chosen, row).select("key", "text")
+    known = written(texts.mapInArrow(lambda it: released(sets(it)), "key long, own array<long>"), "sets")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,44 +167,72 @@ def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text:
                 good[i] = BOTTOM * common >= TOP * (len(u) + len(v) - common)
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], names=["a", "b"])
 
-    both = pairs.join(known.select(F.col("key").alias("a"), F.col("own").alias("x")), "a").join(known.select(F.col("key").alias("b"), F.col("own").alias("y")), "b")
-    return written(both.select("a", "b", "x", "y").mapInArrow(checked, "a long, b long"), "similar")
+    both = pairs.join(known.select(F.col("key").alias("a"), F.col("own").alias("x")).hint("merge"), "a").join(known.select(F.col("key").alias("b"), F.col("own").alias("y")).hint("merge"), "b")
+    out = written(both.select("a", "b", "x", "y").mapInArrow(lambda it: released(checked(it)), "a long, b long"), "similar")
+    for done in (proposed, keys, named, pairs, wanted, known):
+        removed(done)
+    return out
 
 
-def group_similar(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """docs (without text_col) with component_id: the smallest id among the documents that chains of similar texts reach.
+def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 5, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """docs (without text_col) with the fingerprint in print_col and component_id: the smallest id among the documents that
+    chains of similar texts reach.
 
-    Words and short texts are as in simhash.group_near_copies, of which this is the rest: null texts and those without words
-    are equal, a null id is never the smallest. row_col numbers the rows; docs is read several times, so it should be written.
+    Words and short texts are as in simhash.group_near_copies, of which this is the part for similarity: null texts and those
+    without words are equal, a null id is never the smallest. row_col numbers the rows; docs is read several times, so it
+    should be written.
     """
-    kept = [c for c in docs.columns if c not in (text_col, "component_id")]
+    kept = [c for c in docs.columns if c not in (text_col, print_col, "component_id")]
     key, n, lead_of, bits, raw, own_row = fresh(docs, "key", "n", "leading", "parities", "raw", "lead")
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, row_col, text_col, width))
-    schema = docs.select(*kept).schema.add(key, "long").add(n, "long").add(lead_of, ArrayType(LongType())).add(bits, ArrayType(LongType()))
+    schema = docs.select(*kept).schema.add(print_col, "long").add(key, "long").add(n, "long").add(lead_of, ArrayType(LongType())).add(bits, ArrayType(LongType()))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [shingles(x.as_py() or b"", width) for x in batch.column(len(kept))]
-            columns = [pa.array([_signed(k) for k, _ in done], pa.int64()), pa.array([len(s) for _, s in done], pa.int64()), *(pa.array([f(s) for _, s in done], pa.list_(pa.int64())) for f in (lambda s: leading(s, *shared.value), parities))]
+            columns = [
+                pa.array([_signed(p) for _, _, p in done], pa.int64()), pa.array([_signed(k) for k, _, _ in done], pa.int64()), pa.array([len(s) for _, s, _ in done], pa.int64()),
+                *(pa.array([f(s) for _, s, _ in done], pa.list_(pa.int64())) for f in (lambda s: leading(s, *shared.value), parities)),
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], names=schema.names)
 
-    printed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).mapInArrow(made, schema), "shingles")
+    printed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).mapInArrow(lambda it: released(made(it)), schema), "shingles")
     distinct = written(printed.groupBy(F.col(key).alias("key")).agg(F.min(id_col).alias("first"), F.min(row_col).alias(own_row)), "distinct-texts")
-    led = printed.select(row_col, F.col(n).alias("n"), F.col(bits).alias("parities"))
-    lead = written(distinct.select("key", F.col(own_row).alias(row_col)).join(led, row_col).select("key", row_col, "n", "parities"), "lead")
-    places = printed.join(lead.select(row_col), row_col, "left_semi").select(F.col(n).alias("n"), F.col(key).alias("key"), F.posexplode(lead_of).alias("place", "shingle"))
-    places = places.select("shingle", "n", F.col("place").cast("long").alias("place"), "key")
-    meet = lambda rows, again: rows.repartition("shingle").sortWithinPartitions("shingle", "n", "key").mapInArrow(lambda it: _meetings(it, again), "a long, b long")
-    links = _similar(meet(places, False), lead, docs, row_col, text_col, width)
-    roots = written(components(links), "roots")
-    many = places.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > SMALL).select("shingle")
-    rest = places.join(many, "shingle", "left_semi").join(roots, places["key"] == roots["node"], "left").select("shingle", "n", "place", "key", F.coalesce("root", "key").alias("root"))
-    odd = lead.select("key", *[F.get("parities", F.lit(i)).alias(f"bits{i}") for i in range(4)])
-    rest = written(rest.join(odd, "key").select("shingle", "n", "place", "key", "root", *[f"bits{i}" for i in range(4)]), "often-shared")
-    if not rest.isEmpty():
+    led = printed.select(row_col, F.col(n).alias("n"), F.col(bits).alias("parities"), F.col(print_col).alias("print"))
+    lead = written(distinct.select("key", F.col(own_row).alias(row_col)).join(led.hint("merge"), row_col).select("key", row_col, "n", "parities", "print"), "lead")
+
+    # What the forest links: texts of one fingerprint with the first of them, and the first ones of linked fingerprints.
+    firsts = written(lead.groupBy("print").agg(F.min("key").alias("first")), "distinct-prints")
+    near = near_links(firsts.select("print"), radius, shard_rows)
+    of = lambda x: firsts.select(F.col("print").alias(x), F.col("first").alias(f"first_{x}")).hint("merge")
+    proposed = near.join(of("a"), "a").join(of("b"), "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    proposed = proposed.unionByName(lead.join(firsts.hint("merge"), "print").select(F.col("first").alias("a"), F.col("key").alias("b"))).where("a != b")
+    links = _similar(proposed, lead, docs, row_col, text_col, width)
+
+    # The set join: shingles of few texts at once, those of many texts by broadcast if they are few themselves.
+    places = printed.join(lead.select(row_col).hint("merge"), row_col, "left_semi").select(F.col(n).alias("n"), F.col(key).alias("key"), F.posexplode(lead_of).alias("place", "shingle"))
+    places = places.select("shingle", (F.shiftleft("n", PLACE) + F.col("place")).alias("sized"), "key")
+    meet = lambda rows, again: rows.repartition("shingle").sortWithinPartitions("shingle", "sized", "key").mapInArrow(lambda it: released(_meetings(it, again)), "a long, b long")
+    met = written(meet(places, False), "meetings")
+    known = written(components(links), "roots")
+    root = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")).hint("merge")
+    apart = met.where("b IS NOT NULL").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
+    more = _similar(apart, lead, docs, row_col, text_col, width)
+    # Roots stand for what is linked already, so that there are no more old links than texts beside the new ones.
+    roots = written(components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
+    many = written(met.where("b IS NULL").select(F.col("a").alias("shingle")), "many")
+    removed(met)
+    if not many.isEmpty():
+        rest = places.join(F.broadcast(many) if fits(many, BROADCAST_SHINGLES) else many.hint("merge"), "shingle", "left_semi")
+        rest = rest.join(roots.hint("merge"), rest["key"] == roots["node"], "left").select("shingle", "sized", "key", F.coalesce("root", "key").alias("root"))
+        words = FOLDED // 64
+        xor = lambda i: reduce(Column.bitwiseXOR, [F.get("parities", F.lit(k)) for k in range(i, SKETCH // 64, words)])
+        odd = lead.select("key", *[xor(i).alias(f"bits{i}") for i in range(words)])
+        rest = written(rest.join(odd.hint("merge"), "key").select("shingle", "sized", "key", "root", *[f"bits{i}" for i in range(words)]), "often-shared")
         more = _similar(meet(rest, True), lead, docs, row_col, text_col, width)
-        roots = components(links.unionByName(more))
-    linked = distinct.join(roots, distinct["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
+        removed(rest)
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    linked = distinct.join(roots.hint("merge"), distinct["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(lowest, "root").select(F.col("key").alias(key), "component_id")
-    return printed.join(named, key).select(*kept, "component_id")
+    named = linked.join(lowest.hint("merge"), "root").select(F.col("key").alias(key), "component_id")
+    return printed.select(*kept, print_col, key).join(named.hint("merge"), key).select(*kept, print_col, "component_id")
