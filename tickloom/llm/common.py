@@ -6,11 +6,12 @@ import atexit
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The bytes 0x20 and 0x09-0x0D.
@@ -20,6 +21,9 @@ BLANKS = " \t\n\x0b\f\r"
 #: Writer options for tables whose rows may be megabytes: row groups of 32 MB, sizes looked at from the first row on.
 LARGE_ROWS = {"parquet.block.size": str(32 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "100", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "100"}
 
+#: Bytes of an Arrow batch between the JVM and Python, beyond single longer rows; a batch is held several times on both sides.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which driver and executors share; a new one where none is set (tests)."""
@@ -85,12 +89,20 @@ def _clear() -> None:
             return
 
 
-def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """batches; at their end the worker, which serves many tasks after this one, gives back the memory that it has freed."""
-    yield from batches
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
+def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow(function, schema) over batches of BATCH_BYTES, unless the session says how large they are. At a task's end
+    the worker, which serves many tasks after it, gives back the memory that it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    conf = df.sparkSession.conf
+    if not conf._jconf.contains(BATCH_SETTING):
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LARGE_ROWS, fresh, removed, written
+from .common import LARGE_ROWS, fresh, in_batches, removed, written
 
 #: Words are runs of other bytes than these, after A-Z are lower-cased (fixed by the definition of a word).
 _CUT = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -309,7 +309,7 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
 
     for k in range(parts):
         held = items.sparkSession.sparkContext.broadcast([(r.id, bytes(r.text)) for r in (rows.where(part_of == k) if parts > 1 else rows).collect()])
-        found = at.mapInArrow(searcher(held, k == parts - 1), schema)
+        found = at.transform(in_batches, searcher(held, k == parts - 1), schema)
         if k < parts - 1:
             found = written(found, "benchmark-pass", **LARGE_ROWS)
             held.destroy()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, in_batches, written
 from .url_filter import split_url
 
 #: Labelled documents of each language that the text model is learned from, about: a bound on labelled rows. All labels of a
@@ -136,7 +136,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 at = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
-    sums = texts.select("lang", "text").mapInArrow(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = texts.select("lang", "text").transform(in_batches, counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = sums.toPandas()  # at most BUCKETS rows of numbers for each language
     counts = {lang: np.bincount(own["bucket"], own["n"], BUCKETS) for lang, own in table.groupby("lang")}
     return model_of(counts)
@@ -163,7 +163,7 @@ def with_text_evidence(pages: DataFrame, model: TextModel, html_col: str, names:
             table = np.array(rows, float).reshape(len(rows), len(names) - 2)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(declared, pa.string()), *(pa.array(table[:, k]) for k in range(table.shape[1]))], names=schema.names)
 
-    return pages.select(*keep, F.col(html_col).cast("binary").alias(raw)).mapInArrow(scored, schema)
+    return pages.select(*keep, F.col(html_col).cast("binary").alias(raw)).transform(in_batches, scored, schema)
 
 
 def _look_up(df: DataFrame, table: DataFrame, key: str, rows: str, total: float) -> DataFrame:

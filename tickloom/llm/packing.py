@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, in_batches, written
 
 #: Pieces packed in one task, and tokens left in a sequence beyond which it is packed again with those of other shards.
 SHARD_PIECES, OPEN_TOKENS = 16_384, 16
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, file: str, text_col: str = "text", length: int = 409
                     yield cut(batch.slice(first, i + 1 - first), texts)
                     first, texts, chars = i + 1, [], 0
 
-    return docs.select(*keep, F.col(text_col).cast("binary").alias(raw)).mapInArrow(made, schema)
+    return docs.select(*keep, F.col(text_col).cast("binary").alias(raw)).transform(in_batches, made, schema)
 
 
 def sum_of_squares(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, in_batches
 
 #: Labelled rows that a model is fitted on at most: those with the smallest hash of the id.
 SAMPLE_ROWS = 20_000
@@ -65,14 +65,14 @@ def with_statistics(docs: DataFrame, text_col: str, stat_cols: list[str]) -> Dat
     schema = T.StructType(list(docs.schema))
     for name in stat_cols:
         schema = schema.add(name, "double")
-    (raw,) = fresh(docs, "raw")
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([statistics(x.as_py() or b"") for x in batch.column(batch.num_columns - 1)], float).reshape(-1, len(stat_cols))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(rows[:, k]) for k in range(len(stat_cols)))], names=schema.names)
+            rows = np.array([statistics(x.as_py() or b"") for x in batch.column(at).cast(pa.binary())], float).reshape(-1, len(stat_cols))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(rows[:, k]) for k in range(len(stat_cols)))], names=schema.names)
 
-    return docs.withColumn(raw, F.col(text_col).cast("binary")).mapInArrow(made, schema)
+    return docs.transform(in_batches, made, schema)
 
 
 @dataclass(frozen=True)

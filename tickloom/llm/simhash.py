@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, removed, written
+from .common import fresh, in_batches, removed, written
 from .graph import SALTS, components, union
 
 #: Rows of a shard beyond which it is split, and levels of shells before what is left is dealt into pairs of blocks.
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, text_col: str, out_col: str, width: int = 3) -
             prints = np.fromiter((fingerprint(x.as_py() or b"", width) for x in batch.column(len(keep))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(prints.view(np.int64))], names=schema.names)
 
-    return docs.select(*keep, F.col(text_col).cast("binary").alias(raw)).mapInArrow(made, schema)
+    return docs.select(*keep, F.col(text_col).cast("binary").alias(raw)).transform(in_batches, made, schema)
 
 
 def masks(blocks: int, radius: int, bits: int = 64) -> list[int]:
@@ -220,7 +220,7 @@ def near_links(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS)
         for a, b in Shards(radius).of(batches):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return sharded(prints, radius, shard_rows).repartition("tree", "shard").sortWithinPartitions("tree", "shard").mapInArrow(searched, "a long, b long")
+    return sharded(prints, radius, shard_rows).repartition("tree", "shard").sortWithinPartitions("tree", "shard").transform(in_batches, searched, "a long, b long")
 
 
 def pruning(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> tuple[int, int, int, int]:
@@ -234,7 +234,7 @@ def pruning(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) ->
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (shards.pairs, shards.compared, shards.near)], names=["pairs", "compared", "near"])
 
     rows = sharded(prints, radius, shard_rows).repartition("tree", "shard").sortWithinPartitions("tree", "shard")
-    sums = rows.mapInArrow(counted, "pairs long, compared long, near long").agg(F.sum("pairs"), F.sum("compared"), F.sum("near")).first()
+    sums = rows.transform(in_batches, counted, "pairs long, compared long, near long").agg(F.sum("pairs"), F.sum("compared"), F.sum("near")).first()
     return prints.count(), *(x or 0 for x in sums)
 
 

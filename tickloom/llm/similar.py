@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import fits, fresh, released, removed, written
+from .common import fits, fresh, in_batches, removed, written
 from .graph import components
 from .simhash import SHARD_ROWS, folded, near_links, shingle_hashes
 
@@ -78,7 +78,7 @@ def _frequent(told: DataFrame, row: str, text: str, width: int) -> tuple[np.ndar
                 key, own, _ = shingles(x.as_py() or b"", width)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), _signed(key))), pa.array(own)], names=["key", "shingle"])
 
-    pairs = told.where(F.pmod(F.xxhash64(row), F.lit(step)) == 0).select(F.col(text).cast("binary")).mapInArrow(lambda it: released(cut(it)), "key long, shingle long").distinct()
+    pairs = told.where(F.pmod(F.xxhash64(row), F.lit(step)) == 0).select(F.col(text).cast("binary")).transform(in_batches, cut, "key long, shingle long").distinct()
     n = pairs.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(TOLD).toPandas()
     order = np.argsort(n["shingle"].to_numpy(np.int64))
     return n["shingle"].to_numpy(np.int64)[order], (len(n) - np.arange(len(n)))[order]
@@ -155,7 +155,7 @@ def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text:
 
     chosen = F.broadcast(wanted) if fits(wanted, BROADCAST_ROWS) else wanted.hint("merge")
     texts = told.select(row, F.col(text).cast("binary").alias("text")).join(chosen, row).select("key", "text")
-    known = written(texts.mapInArrow(lambda it: released(sets(it)), "key long, own array<long>"), "sets")
+    known = written(texts.transform(in_batches, sets, "key long, own array<long>"), "sets")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +168,7 @@ def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text:
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], names=["a", "b"])
 
     both = pairs.join(known.select(F.col("key").alias("a"), F.col("own").alias("x")).hint("merge"), "a").join(known.select(F.col("key").alias("b"), F.col("own").alias("y")).hint("merge"), "b")
-    out = written(both.select("a", "b", "x", "y").mapInArrow(lambda it: released(checked(it)), "a long, b long"), "similar")
+    out = written(both.select("a", "b", "x", "y").transform(in_batches, checked, "a long, b long"), "similar")
     for done in (proposed, keys, named, pairs, wanted, known):
         removed(done)
     return out
@@ -196,7 +196,7 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], names=schema.names)
 
-    printed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).mapInArrow(lambda it: released(made(it)), schema), "shingles")
+    printed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).transform(in_batches, made, schema), "shingles")
     distinct = written(printed.groupBy(F.col(key).alias("key")).agg(F.min(id_col).alias("first"), F.min(row_col).alias(own_row)), "distinct-texts")
     led = printed.select(row_col, F.col(n).alias("n"), F.col(bits).alias("parities"), F.col(print_col).alias("print"))
     lead = written(distinct.select("key", F.col(own_row).alias(row_col)).join(led.hint("merge"), row_col).select("key", row_col, "n", "parities", "print"), "lead")
@@ -212,7 +212,7 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     # The set join: shingles of few texts at once, those of many texts by broadcast if they are few themselves.
     places = printed.join(lead.select(row_col).hint("merge"), row_col, "left_semi").select(F.col(n).alias("n"), F.col(key).alias("key"), F.posexplode(lead_of).alias("place", "shingle"))
     places = places.select("shingle", (F.shiftleft("n", PLACE) + F.col("place")).alias("sized"), "key")
-    meet = lambda rows, again: rows.repartition("shingle").sortWithinPartitions("shingle", "sized", "key").mapInArrow(lambda it: released(_meetings(it, again)), "a long, b long")
+    meet = lambda rows, again: rows.repartition("shingle").sortWithinPartitions("shingle", "sized", "key").transform(in_batches, lambda it: _meetings(it, again), "a long, b long")
     met = written(meet(places, False), "meetings")
     known = written(components(links), "roots")
     root = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")).hint("merge")

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, in_batches
 
 #: How byte-level vocabularies of this family cut text before merging (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -244,7 +244,7 @@ def count_tokens(docs: DataFrame, file: str, text_col: str = "text", limit: int
             columns += [pa.array([len(b) for b in blobs], pa.int64()), pa.array(tokens, pa.int64()), pa.array([t > limit for t in tokens], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return asked.mapInArrow(counted, schema)
+    return asked.transform(in_batches, counted, schema)
 
 
 def op5_token_count(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LARGE_ROWS, fits, written
+from .common import LARGE_ROWS, fits, in_batches, written
 
 #: Magic number of the skippable frame that holds a dictionary, and of a plain frame (fixed values, little-endian).
 DICT_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -226,7 +226,7 @@ def write_archives(
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([compress(held, trained)], pa.binary())], names=["content"])
 
-    return dealt.mapInArrow(made, "content binary")
+    return dealt.transform(in_batches, made, "content binary")
 
 
 def read_archives(df: DataFrame, content_col: str = "content", payload: bool = True, max_record: int = MAX_RECORD) -> DataFrame:
@@ -274,7 +274,7 @@ def read_archives(df: DataFrame, content_col: str = "content", payload: bool = T
                 if held:
                     yield out()
 
-    return df.select(*keep, content_col).mapInArrow(read, schema)
+    return df.select(*keep, content_col).transform(in_batches, read, schema)
 
 
 def save(archives: DataFrame, uri: str) -> None:
@@ -298,7 +298,7 @@ def save(archives: DataFrame, uri: str) -> None:
                 names.append(name)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
 
-    archives.select("content").mapInArrow(put, "name string").count()
+    archives.select("content").transform(in_batches, put, "name string").count()
 
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:
