@@ -99,9 +99,30 @@ def test_hard_rows(spark, tmp_path):
     assert got == sorted([(i, *want(x)) for i, x in rows], key=str)
 
 
+def test_stored_planes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 8, 4097):
+        pcm = rng.integers(-32768, 32768, n).astype(np.int16)
+        assert t.samples(t.planes(pcm)).tolist() == pcm.tolist() and len(t.planes(pcm)) == 2 * n
+        doubled = t.resample(pcm, 8000, 16000)
+        assert t.planes(doubled) == pcm.astype("<i2").tobytes() + bytes(2 * n) and t.samples(t.planes(doubled)).tolist() == doubled.tolist()
+
+
+def test_features_in_steps(monkeypatch):
+    pcm = np.random.default_rng(4).integers(-32768, 32768, 1000).astype(np.int16)
+    whole = t.features(pcm, 8000)
+    for step in (1, 7, 999, 1000):
+        monkeypatch.setattr(t, "STEP", step)
+        assert t.features(pcm, 8000) == whole
+    assert t.features(pcm[:0], 8000) == "rate=8000;n=0;energy=0;peak=0;crossings=0;crc=0"
+
+
 def test_columns(spark):
     df = spark.createDataFrame([(bytearray(t.wav(b"ab", t.A_LAW)), 1, "p"), (None, 2, "q"), (bytearray(b"junk"), 3, "r")], "media binary, k int, pcm string")
-    out = {r.k: r for r in t.read_media(df, target=8000).collect()}
+    read = t.read_media(df, target=8000)
+    out = {r.k: r for r in read.collect()}
     assert bytes(out[1].pcm) == np.array([one_a(97), one_a(98)], "<i2").tobytes() and out[1].media_error is None
-    assert out[2].media_error and out[3].media_error and out[2].feature is None and out[2].media_bytes == 0
-    assert t.read_media(df.limit(0)).count() == 0 and t.media_column(df.limit(0), "pcm").count() == 0
+    assert out[2].media_error and out[3].media_error and out[2].pcm is None and out[2].media_bytes == 0
+    told = {r.k: r.feature for r in t.with_features(read, rate=8000, read=lambda b: np.frombuffer(b, "<i2")).collect()}
+    assert told == {1: t.features(np.array([one_a(97), one_a(98)], np.int16), 8000), 2: None, 3: None}
+    assert t.read_media(df.limit(0)).count() == 0 and t.media_column(df.limit(0), "pcm").count() == 0 and t.with_features(read.limit(0)).count() == 0
