@@ -11,12 +11,13 @@ def key(line):
 
 
 def brute(rows):
-    n, last = defaultdict(int), {}
+    ids, n, last = defaultdict(set), defaultdict(int), {}
     for i, t in rows:
         if i is not None:
             for k in {key(x) for x in (t or "").split("\n")}:
                 if len(k) >= 40:
-                    n[k] += 1
+                    ids[k].add(i)
+                    n[k] = len(ids[k])
                     last[k] = max(last.get(k, i), i)
     out = []
     for i, t in rows:
@@ -40,6 +41,12 @@ def test_against_brute_force(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_ids_that_repeat(spark):
+    rows = [(7, LONG % 1)] * 3 + [(8, LONG % 1)] * 3 + [(i, LONG % 2) for i in (1, 1, 2, 3, 4, 5)]
+    out = run(spark, rows)
+    assert out == brute(rows) and sum(x[3] for x in out) == 5
+
+
 def test_long_text(spark):
     rows = [(i, "\n".join([LONG % 1, "own %d" % i] * 20000)) for i in range(6)]
     assert run(spark, rows) == brute(rows)

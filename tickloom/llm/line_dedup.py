@@ -34,8 +34,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     document with the largest id that holds it; there every occurrence stays. Other lines stay, joined by "\\n".
 
     Defined cases: a null text is one empty line and stays null unless lines are dropped (none can be); an empty table gives
-    an empty table; each row counts as a document, so repeated rows count repeatedly and, sharing the largest id, all keep
-    the line; a row with a null id has no place in the order: its lines neither count nor go; other columns pass through,
+    an empty table; rows of one id count as one document and, sharing the largest id, all keep the line; a row with a null id has no place in the order: its lines neither count nor go; other columns pass through,
     those named n_lines or n_dropped are replaced.
     """
     text, lines, digest, h, n, last, drops, pos, line, salt = fresh(docs, "text", "lines", "digest", "h", "n", "last", "drops", "pos", "line", "salt")
@@ -43,11 +42,14 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     long = lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= min_chars
     known = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) >= min_chars))
 
+    # Where no id repeats, rows are documents, and counting them keeps to one shuffle with partial sums.
+    ids = docs.select(F.col(id_col).alias(text)).where(F.col(text).isNotNull())
+    repeats = not ids.groupBy(text).count().where("count > 1").isEmpty()
     hashes = F.array_distinct(F.transform(F.filter(split, long), lambda x: _hashes(line_key(x))))
     repeated = (
         known.select(F.col(id_col).alias(last), F.explode(hashes).alias(h))
         .groupBy(F.col(f"{h}.a").alias("a"), F.col(f"{h}.b").alias("b"))
-        .agg(F.count(F.lit(1)).alias(n), F.max(last).alias(last))
+        .agg((F.countDistinct(last) if repeats else F.count(F.lit(1))).alias(n), F.max(last).alias(last))
         .where(F.col(n) >= min_docs)
         .select("a", "b", last, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt))
     )
