@@ -1,5 +1,6 @@
 import itertools
 
+from tickloom.llm import url_filter
 from tickloom.llm.url_filter import RULES, judge_urls, rule_table
 
 
@@ -37,6 +38,11 @@ def test_many_rules_without_broadcast(spark):
     check(spark, URLS, [*rules, ("net", "/", "block"), (None, "/", "block")], broadcast_rules=3)
 
 
+def test_long_rules_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", 20)
+    check(spark, URLS, RULES)
+
+
 def test_clashes_and_empty(spark):
     df = spark.createDataFrame([("http://x.net/es/", 1, "mine", 2)], "url string, rule int, prefix string, host_len int")
     out = judge_urls(df, rule_table(spark, RULES))

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fits, fresh
+from .common import ascii_lower, fresh
 
-#: Rules up to this count are broadcast (at most about 10 MB); beyond, both sides are dealt by hash prefix and salt.
-BROADCAST_RULES = 50_000
+#: Rules up to this count and these bytes are broadcast; beyond, both sides are dealt by hash prefix and salt.
+BROADCAST_RULES, BROADCAST_BYTES = 50_000, 8 << 20
 #: Copies of each rule, among which the rows of a hot expression (a top-level domain, say) are dealt.
 SALTS = 16
 
@@ -55,7 +55,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
         F.concat("host", "path").alias("rule"), F.length("host").alias("host_len"), F.length("path").alias("path_len"), "action"
     ).groupBy("rule").agg(F.max("host_len").alias("host_len"), F.max("path_len").alias("path_len"), F.max("action").alias("action"))
     # Lengths of rules' hosts and paths: at most 255 and a few thousand values, however many rules there are.
-    lengths = rules.agg(F.array_sort(F.collect_set("host_len")).alias("h"), F.array_sort(F.collect_set("path_len")).alias("p")).first()
+    lengths = rules.agg(F.array_sort(F.collect_set("host_len")).alias("h"), F.array_sort(F.collect_set("path_len")).alias("p"), F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("rule")).alias("bytes")).first()
     digest = F.sha2("rule", 256)
     rules = rules.withColumns({"full": digest, "prefix": F.substring(digest, 1, 8)})
 
@@ -68,7 +68,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
     expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
     asked = urls.where(n > 0).select(url, F.explode(expressions).alias(expr)).withColumn(expr, F.sha2(expr, 256))
     prefix = F.substring(expr, 1, 8)
-    if fits(rules, broadcast_rules):
+    if lengths["n"] <= broadcast_rules and (lengths["bytes"] or 0) <= BROADCAST_BYTES:
         hits = asked.join(F.broadcast(rules), prefix == rules.prefix)
     else:
         dealt = rules.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
