@@ -43,9 +43,11 @@ def texts(seed, n):
     return out
 
 
-@pytest.mark.parametrize("small,frequent", [(32, 3), (2, 3), (2, 10**9)])
-def test_groups_against_all_pairs(spark, monkeypatch, small, frequent):
+@pytest.mark.parametrize("small,frequent,block", [(32, 3, s.BLOCK), (2, 3, s.BLOCK), (2, 10**9, s.BLOCK), (4, 3, 3), (2, 3, 7), (2, 10**9, 7)])
+def test_groups_against_all_pairs(spark, monkeypatch, small, frequent, block):
+    """With small blocks, frequent shingles are dealt among tasks, with and without the sample's word for it."""
     monkeypatch.setattr(s, "SMALL", small)
+    monkeypatch.setattr(s, "BLOCK", block)
     monkeypatch.setattr(s, "AHEAD", 1 if small == 2 else s.AHEAD)
     monkeypatch.setattr(s, "FREQUENT", frequent)
     rows = [*enumerate(texts(3, 40)), (-1, None), (-2, " "), (None, "one two"), (900, "ONE\ttwo"), (None, "alone")]

@@ -8,7 +8,9 @@ shingle, with sizes and places that allow the similarity, and aren't connected y
 shingles the sample finds frequent changes the number of comparisons and nothing else.
 
 Equal word sequences become one text first. A shingle that more than SMALL texts share is met twice: at first each text meets
-AHEAD others of nearest size, then, when these links have made components, all texts of other components.
+AHEAD others of nearest size, then, when these links have made components, all texts of other components. A shingle of more
+than BLOCK texts is dealt among tasks: at first by blocks of its texts, as the sample tells their number, which only decides who
+is nearest, then by pairs of blocks, counted.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ TOP, BOTTOM = 4, 5
 SAMPLE, FREQUENT, TOLD = 20_000, 3, 1 << 16
 #: Texts that share a shingle up to which all pairs meet at once, texts ahead that others meet at first, pairs of one numpy step.
 SMALL, AHEAD, STEP = 4, 2, 1 << 20
+#: Texts of one shingle that meet in a task at first, half of those that meet later.
+BLOCK = 16_384
 #: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each); more are
 #: joined by shuffle.
 BROADCAST_ROWS, BROADCAST_SHINGLES = 500_000, 500_000
@@ -68,8 +72,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _frequent(told: DataFrame, row: str, text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of the sample have, sorted, and their ranks by number of texts."""
+def _frequent(told: DataFrame, row: str, text: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles that several texts of the sample have, sorted, their ranks by number of texts, and how many texts of all have them,
+    if the sample is like the rest."""
     step = told.count() // SAMPLE + 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +86,7 @@ def _frequent(told: DataFrame, row: str, text: str, width: int) -> tuple[np.ndar
     pairs = told.where(F.pmod(F.xxhash64(row), F.lit(step)) == 0).select(F.col(text).cast("binary")).transform(in_batches, cut, "key long, shingle long").distinct()
     n = pairs.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(TOLD).toPandas()
     order = np.argsort(n["shingle"].to_numpy(np.int64))
-    return n["shingle"].to_numpy(np.int64)[order], (len(n) - np.arange(len(n)))[order]
+    return n["shingle"].to_numpy(np.int64)[order], (len(n) - np.arange(len(n)))[order], n["n"].to_numpy(np.int64)[order] * step
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
@@ -184,7 +189,10 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     """
     kept = [c for c in docs.columns if c not in (text_col, print_col, "component_id")]
     key, n, lead_of, bits, raw, own_row = fresh(docs, "key", "n", "leading", "parities", "raw", "lead")
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, row_col, text_col, width))
+    *frequent, texts = _frequent(docs, row_col, text_col, width)
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    # At most TOLD shingles, so that each executor may hold them.
+    hot = [(int(x), int(-(-m // BLOCK))) for x, m in zip(frequent[0], texts) if m > BLOCK]
     schema = docs.select(*kept).schema.add(print_col, "long").add(key, "long").add(n, "long").add(lead_of, ArrayType(LongType())).add(bits, ArrayType(LongType()))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,15 +220,23 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     # The set join: shingles of few texts at once, those of many texts by broadcast if they are few themselves.
     places = printed.join(lead.select(row_col).hint("merge"), row_col, "left_semi").select(F.col(n).alias("n"), F.col(key).alias("key"), F.posexplode(lead_of).alias("place", "shingle"))
     places = places.select("shingle", (F.shiftleft("n", PLACE) + F.col("place")).alias("sized"), "key")
-    meet = lambda rows, again: rows.repartition("shingle").sortWithinPartitions("shingle", "sized", "key").transform(in_batches, lambda it: _meetings(it, again), "a long, b long")
-    met = written(meet(places, False), "meetings")
+    meet = lambda rows, again: rows.sortWithinPartitions("shingle", "sized", "key").transform(in_batches, lambda it: _meetings(it, again), "a long, b long")
+    if hot:
+        blocks = F.broadcast(docs.sparkSession.createDataFrame(hot, "shingle long, blocks long"))
+        dealt = places.join(blocks, "shingle", "left").repartition("shingle", F.pmod("key", F.coalesce("blocks", F.lit(1)))).drop("blocks")
+    else:
+        dealt = places.repartition("shingle")
+    met = written(meet(dealt, False), "meetings")
     known = written(components(links), "roots")
     root = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")).hint("merge")
     apart = met.where("b IS NOT NULL").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
     more = _similar(apart, lead, docs, row_col, text_col, width)
     # Roots stand for what is linked already, so that there are no more old links than texts beside the new ones.
     roots = written(components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
-    many = written(met.where("b IS NULL").select(F.col("a").alias("shingle")), "many")
+    many = met.where("b IS NULL").select(F.col("a").alias("shingle"))
+    if hot:  # a task saw some of their texts only, maybe SMALL or fewer
+        many = many.unionByName(blocks.select("shingle")).distinct()
+    many = written(many, "many")
     removed(met)
     if not many.isEmpty():
         rest = places.join(F.broadcast(many) if fits(many, BROADCAST_SHINGLES) else many.hint("merge"), "shingle", "left_semi")
@@ -229,8 +245,16 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
         xor = lambda i: reduce(Column.bitwiseXOR, [F.get("parities", F.lit(k)) for k in range(i, SKETCH // 64, words)])
         odd = lead.select("key", *[xor(i).alias(f"bits{i}") for i in range(words)])
         rest = written(rest.join(odd.hint("merge"), "key").select("shingle", "sized", "key", "root", *[f"bits{i}" for i in range(words)]), "often-shared")
-        more = _similar(meet(rest, True), lead, docs, row_col, text_col, width)
+        # Shingles whose texts are all connected are done; the others' texts go to as many pairs of blocks as they have blocks.
+        counts = rest.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+        parted = written(counts.select("shingle", F.ceil(F.col("texts") / BLOCK).alias("blocks")), "parted")
+        dealt = rest.join(F.broadcast(parted) if fits(parted, BROADCAST_SHINGLES) else parted.hint("merge"), "shingle")
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("own", F.pmod("key", "blocks"))
+        pair = F.when(F.col("blocks") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
+        dealt = dealt.select(pair.alias("shingle"), *rest.columns[1:]).repartition("shingle")
+        more = _similar(meet(dealt, True), lead, docs, row_col, text_col, width)
         removed(rest)
+        removed(parted)
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     linked = distinct.join(roots.hint("merge"), distinct["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
