@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontaminate, line_dedup, packing, quality, simhash
-from tickloom.llm.common import fits, fresh, kept_only, tables, written
+from tickloom.llm.common import fits, fresh, kept_only, numbered, tables, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -55,9 +55,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more): that with the smallest
     id (of repeated rows one; of null ids alone one)."""
     row, first, group = fresh(docs, "row", "first", "group")
-    told = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    told, before = numbered(docs, row), tables()
     grouped = simhash.group_near_copies(told.select("doc_id", row, "text"), width=5, similarity=True, row_col=row)
     grouped = written(grouped.select("doc_id", row, F.col("component_id").alias(group)), "grouped")
+    kept_only(grouped, before)
     # Ids may repeat or be null, rows can't: the group's id picks candidates, the smallest row number decides among them.
     lead = grouped.where(F.col("doc_id").eqNullSafe(F.col(group))).groupBy("doc_id").agg(F.min(row).alias(first))
     gone = written(grouped.select(row).join(lead.select(F.col(first).alias(row)).hint("merge"), row, "left_anti"), "gone")

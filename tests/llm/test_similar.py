@@ -4,8 +4,9 @@ import corpus_pipeline as c
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import simhash
+from tickloom.llm import common, simhash
 from tickloom.llm import similar as s
+from tickloom.llm.common import written
 
 
 def shingles(text):
@@ -73,3 +74,56 @@ def test_stage_drops_a_near_copy_beyond_three_bits(spark):
     copy = [*words[:30], "other", *words[31:]]
     docs = spark.createDataFrame([(2, " ".join(words)), (1, " ".join(copy)), (3, " ".join([*words[:10], "x", *words[11:40], "y", *words[41:]]))], "doc_id long, text string")
     assert [r.doc_id for r in c.drop_near_copies(spark, docs, "").orderBy("doc_id").collect()] == [1, 3]
+
+
+def test_rounds_of_pairs(spark, monkeypatch):
+    """Pairs told both ways round and twice, compared in rounds of few bytes: unlike texts don't link, like ones do once."""
+    words = [f"w{i}" for i in range(60)]
+    near, far = [*words[:30], "other", *words[31:]], [*words[:10], "x", *words[11:40], "y", *words[41:]]
+    rows = [(i, " ".join(x)) for i, x in enumerate((words, near, far))]
+    told = c.written(spark.createDataFrame(rows, "row long, text string"), "told")
+    lead = spark.createDataFrame([(10 + i, i, len(s.shingles(t.encode())[1]), s.parities(s.shingles(t.encode())[1]).tolist()) for i, t in rows], "key long, row long, n long, parities array<long>")
+    monkeypatch.setattr(s, "SKETCH", 64)  # so coarse that it sieves few
+    pairs = spark.createDataFrame([(10, 11), (11, 10), (12, 10), (10, 12), (10, 12), (11, 12)], "a long, b long")
+    for most in (1 << 20, 300):
+        assert [tuple(r) for r in s._similar(pairs, lead, told, "row", "text", 5, most).collect()] == [(10, 11)]
+
+
+def test_large_tables_go_in_rounds_and_shuffle_no_text(spark, monkeypatch):
+    """With limits as small against these texts as the real ones are against gigabytes, the groups are the same, texts to compare
+    are found by broadcast, and the table isn't copied."""
+    rows = list(enumerate(texts(7, 12)))
+    docs = c.written(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "docs")
+    for name, value in (("BROADCAST_ROWS", 4), ("ROUND_BYTES", 1 << 15), ("SMALL", 2)):
+        monkeypatch.setattr(s, name, value)
+    plans = []
+
+    def told(df, name, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name, **options)
+
+    for module in (s, common):
+        monkeypatch.setattr(module, "written", told)
+    got = simhash.group_near_copies(docs, width=5, similarity=True)
+    assert sorted([(x.doc_id, x.component_id) for x in got.collect()], key=str) == want(rows)
+    compared = [plan for name, plan in plans if name == "similar"]
+    assert len(compared) > 3 and not any("SortMergeJoin" in plan for plan in compared) and "rows" not in dict(plans)
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    shuffles = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    was = shuffles()
+    kept = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(kept.collect()) == 7 and shuffles() > was
+    was = shuffles()
+    assert written(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), "counts").count() == 7
+    assert shuffles() <= was + 1  # that of count()
+
+
+def test_numbers_of_rows(spark):
+    docs = written(spark.range(100).repartition(4), "docs")
+    told = common.numbered(docs, "n")
+    assert told.columns == ["id", "n"] and told.select("n").distinct().count() == 100
+    assert sorted(map(tuple, told.collect())) == sorted(map(tuple, told.repartition(3).collect()))
+    assert common.numbered(docs.where("id < 7"), "n").select("n").distinct().count() == 7
+    assert common.numbered(docs.limit(0), "n").isEmpty()

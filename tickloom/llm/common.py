@@ -37,17 +37,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 _folders: dict[str, SparkSession] = {}
 
+#: Shuffle files go when the query that wrote them ends, and not when the driver's collector happens to find them unused.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: its lineage ends there, so a lost executor costs no recomputation.
-    The folder goes when it is removed() or the driver ends."""
+    The folder goes when it is removed() or the driver ends, the shuffle files of the write at its end."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tickloom/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(CLEANUP_SETTING, "false")
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
     _folders[path] = spark
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, column: str) -> DataFrame:
+    """df with a long in column that numbers its rows, the same however often they are read. Rows of Parquet files are numbered
+    by file and place, so such a table isn't copied; anything else is written once."""
+    plan = df._jdf.queryExecution().analyzed()
+    name = lambda x: x.getClass().getSimpleName()
+    if name(plan) != "LogicalRelation" or name(plan.relation()) != "HadoopFsRelation" or name(plan.relation().fileFormat()) != "ParquetFileFormat" or "_metadata" in map(str.lower, df.columns):
+        return written(df.withColumn(column, F.monotonically_increasing_id()), "rows")
+    at, path, number = fresh(df.withColumn(column, F.lit(0)), "at", "path", "number")
+    paths = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+    files = df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), f"{path} string, {number} long")
+    told = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at)).join(F.broadcast(files), path)
+    return told.select(*df.columns, (F.shiftleft(number, 33) + F.col(at)).alias(column))
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, in_batches, removed, written
+from .common import fresh, in_batches, numbered, removed, written
 from .graph import SALTS, components, union
 
 #: Rows of a shard beyond which it is split, and levels of shells before what is left is dealt into pairs of blocks.
@@ -244,8 +244,8 @@ def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     With similarity, a link holds if the sets of shingles have a Jaccard similarity of 0.8 or more, whatever the fingerprints:
     pairs from the forest are confirmed by their sets, and an exact set join finds those that are further apart in bits (see
-    similar.py). row_col may then name a column that numbers the rows of docs, if docs is a written table; without it one is
-    written.
+    similar.py). row_col may then name a column that numbers the rows of docs, the same however often docs is read, as
+    common.numbered() gives it; without it they are numbered so.
 
     Words are runs of other bytes than 0x20 and 0x09-0x0D, A-Z lower-cased; a text of fewer words than width is one shingle.
     A null text, or one without words, has fingerprint zero and is linked like any other. A null id is never the smallest; a
@@ -259,8 +259,8 @@ def group_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if similarity:
         from .similar import group_similar
 
-        numbered = kept if row_col else written(kept.withColumn(row, F.monotonically_increasing_id()), "rows")
-        return group_similar(numbered, row_col or row, fp, id_col, text_col, radius, width, shard_rows).select(*names, shown, "component_id")
+        told = kept if row_col else numbered(kept, row)
+        return group_similar(told, row_col or row, fp, id_col, text_col, radius, width, shard_rows).select(*names, shown, "component_id")
     printed = written(fingerprints(kept, text_col, fp, width), "prints")
     distinct = written(printed.groupBy(F.col(fp).alias("print")).agg(F.min(id_col).alias("first")), "distinct-prints")
     roots = components(near_links(distinct.select("print"), radius, shard_rows))

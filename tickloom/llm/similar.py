@@ -37,9 +37,11 @@ SAMPLE, FREQUENT, TOLD = 20_000, 3, 1 << 16
 SMALL, AHEAD, STEP = 4, 2, 1 << 20
 #: Texts of one shingle that meet in a task at first, half of those that meet later.
 BLOCK = 16_384
-#: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each); more are
-#: joined by shuffle.
+#: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each); more take
+#: more rounds.
 BROADCAST_ROWS, BROADCAST_SHINGLES = 500_000, 500_000
+#: Bytes that a round may put on disk in small tables, and those of a shuffled place of a shingle, alone and with parities.
+ROUND_BYTES, PLACE_BYTES, MET_BYTES = 64 << 20, 24, 64
 #: Bits of the sketch by which pairs are sieved before their sets are fetched, and of its folded form for often shared shingles.
 SKETCH, FOLDED = 1024, 256
 #: Of a set's size and a shingle's place in one long, the bits of the place.
@@ -140,43 +142,70 @@ def _meetings(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.Rec
     yield from out()
 
 
-def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text: str, width: int) -> DataFrame:
-    """Those of the pairs (a, b) of keys whose whole sets are similar."""
-    # Only the texts that pairs name are looked at from here on.
-    pairs = written(pairs.distinct(), "proposed")
+def _part(rounds: int, *of: str, salt: str = "round") -> Column:
+    """The round of a row."""
+    return F.pmod(F.xxhash64(*of, F.lit(salt)), F.lit(rounds))
+
+
+def _pieces(total: int, most: int) -> int:
+    """How many rounds keep each at `most` of the total, about."""
+    return max(1, -(-total // most))
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text: str, width: int, most: int) -> DataFrame:
+    """Those of the pairs (a, b) of keys whose whole sets are similar. The sets of a round's pairs come to about `most` bytes,
+    and its texts are few enough to be named by broadcast, so that no text is ever shuffled."""
+    # A pair may come both ways round. Only the texts that pairs name are looked at from here on.
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "proposed")
     keys = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
     named = written(lead.join(F.broadcast(keys) if fits(keys, BROADCAST_ROWS) else keys.hint("merge"), "key", "left_semi"), "named")
     of = lambda x: named.select(F.col("key").alias(x), F.struct("n", "parities").alias(f"of_{x}")).hint("merge")
     both_n = F.col("of_a.n") + F.col("of_b.n")
     apart = sum((F.bit_count(F.col("of_a.parities")[i].bitwiseXOR(F.col("of_b.parities")[i])) for i in range(SKETCH // 64)), F.lit(0))
     possible = apart <= both_n - 2 * F.ceil(both_n * TOP / (TOP + BOTTOM) - 1e-6)
-    proposed, pairs = pairs, written(pairs.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b"), "pairs")
-    wanted = written(named.select("key", row).join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"), "wanted")
+    proposed, pairs = pairs, written(pairs.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b", both_n.alias("n")), "pairs")
+    for done in (proposed, keys):
+        removed(done)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = pa.array([shingles(x.as_py() or b"", width)[1] for x in batch.column(1)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), own], names=["key", "own"])
-
-    chosen = F.broadcast(wanted) if fits(wanted, BROADCAST_ROWS) else wanted.hint("merge")
-    texts = told.select(row, F.col(text).cast("binary").alias("text")).join(chosen, row).select("key", "text")
-    known = written(texts.transform(in_batches, sets, "key long, own array<long>"), "sets")
+            own = pa.array([shingles(x.as_py() or b"", width)[1] for x in batch.column(2)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own], names=["key", "others", "own"])
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each pair has two rows, one after the other, maybe in two batches."""
+        held = None
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
+            a, b = (batch.column(k).to_numpy() for k in (0, 1))
             good = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                u, v = x[i].values.to_numpy(), y[i].values.to_numpy()
+                v = batch.column(2)[i].values.to_numpy()
+                if held is None or held[0] != (a[i], b[i]):
+                    held = (a[i], b[i]), v
+                    continue
+                u, held = held[1], None
                 common = len(np.intersect1d(u, v, assume_unique=True))
                 good[i] = BOTTOM * common >= TOP * (len(u) + len(v) - common)
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], names=["a", "b"])
 
-    both = pairs.join(known.select(F.col("key").alias("a"), F.col("own").alias("x")).hint("merge"), "a").join(known.select(F.col("key").alias("b"), F.col("own").alias("y")).hint("merge"), "b")
-    out = written(both.select("a", "b", "x", "y").transform(in_batches, checked, "a long, b long"), "similar")
-    for done in (proposed, keys, named, pairs, wanted, known):
+    number, size = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rounds, parts = max(_pieces(2 * number, BROADCAST_ROWS), _pieces(8 * size, most)), []
+    for i in range(rounds):
+        ends = pairs.where(_part(rounds, "a", "b") == i).select(F.explode(F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("other")), F.struct(F.col("b").alias("key"), F.col("a").alias("other")))).alias("x"))
+        others = ends.groupBy(F.col("x.key").alias("key")).agg(F.collect_list("x.other").alias("others"))
+        wanted = written(others.join(named.select("key", row).hint("merge"), "key"), "wanted")
+        texts = told.select(row, F.col(text).cast("binary").alias("text")).join(F.broadcast(wanted), row).select("key", "others", "text")
+        known = texts.transform(in_batches, sets, "key long, others array<long>, own array<long>").select("key", F.explode("others").alias("other"), "own")
+        both = known.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"), "own").repartition("a", "b").sortWithinPartitions("a", "b")
+        parts.append(written(both.transform(in_batches, checked, "a long, b long"), "similar"))
+        removed(wanted)
+    for done in (named, pairs):
         removed(done)
-    return out
+    return _together(parts)
 
 
 def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 5, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -204,10 +233,17 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], names=schema.names)
 
-    printed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).transform(in_batches, made, schema), "shingles")
-    distinct = written(printed.groupBy(F.col(key).alias("key")).agg(F.min(id_col).alias("first"), F.min(row_col).alias(own_row)), "distinct-texts")
-    led = printed.select(row_col, F.col(n).alias("n"), F.col(bits).alias("parities"), F.col(print_col).alias("print"))
+    hashed = written(docs.select(*kept, F.col(text_col).cast("binary").alias(raw)).transform(in_batches, made, schema), "shingles")
+    distinct = written(hashed.groupBy(F.col(key).alias("key")).agg(F.min(id_col).alias("first"), F.min(row_col).alias(own_row)), "distinct-texts")
+    led = hashed.select(row_col, F.col(n).alias("n"), F.col(bits).alias("parities"), F.col(print_col).alias("print"))
     lead = written(distinct.select("key", F.col(own_row).alias(row_col)).join(led.hint("merge"), row_col).select("key", row_col, "n", "parities", "print"), "lead")
+    # Leading shingles are kept of one text of each kind; what names the documents is small.
+    headed = written(hashed.select(row_col, F.col(n).alias("n"), F.col(key).alias("key"), F.col(lead_of).alias("leading")).join(lead.select(row_col).hint("merge"), row_col, "left_semi").drop(row_col), "leading")
+    printed = written(hashed.select(*kept, print_col, key), "printed")
+    removed(hashed)
+    # A quarter of the bytes of all sets, or more for small tables: what a round may put on disk.
+    most = max(ROUND_BYTES, 2 * (lead.agg(F.sum("n")).first()[0] or 0))
+    rows = headed.agg(F.sum(F.size("leading"))).first()[0] or 0
 
     # What the forest links: texts of one fingerprint with the first of them, and the first ones of linked fingerprints.
     firsts = written(lead.groupBy("print").agg(F.min("key").alias("first")), "distinct-prints")
@@ -215,22 +251,26 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     of = lambda x: firsts.select(F.col("print").alias(x), F.col("first").alias(f"first_{x}")).hint("merge")
     proposed = near.join(of("a"), "a").join(of("b"), "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
     proposed = proposed.unionByName(lead.join(firsts.hint("merge"), "print").select(F.col("first").alias("a"), F.col("key").alias("b"))).where("a != b")
-    links = _similar(proposed, lead, docs, row_col, text_col, width)
+    links = _similar(proposed, lead, docs, row_col, text_col, width, most)
 
     # The set join: shingles of few texts at once, those of many texts by broadcast if they are few themselves.
-    places = printed.join(lead.select(row_col).hint("merge"), row_col, "left_semi").select(F.col(n).alias("n"), F.col(key).alias("key"), F.posexplode(lead_of).alias("place", "shingle"))
+    places = headed.select("n", "key", F.posexplode("leading").alias("place", "shingle"))
     places = places.select("shingle", (F.shiftleft("n", PLACE) + F.col("place")).alias("sized"), "key")
     meet = lambda rows, again: rows.sortWithinPartitions("shingle", "sized", "key").transform(in_batches, lambda it: _meetings(it, again), "a long, b long")
-    if hot:
-        blocks = F.broadcast(docs.sparkSession.createDataFrame(hot, "shingle long, blocks long"))
-        dealt = places.join(blocks, "shingle", "left").repartition("shingle", F.pmod("key", F.coalesce("blocks", F.lit(1)))).drop("blocks")
-    else:
-        dealt = places.repartition("shingle")
-    met = written(meet(dealt, False), "meetings")
+    blocks = F.broadcast(docs.sparkSession.createDataFrame(hot, "shingle long, blocks long")) if hot else None
+    rounds, parts = _pieces(PLACE_BYTES * rows, most), []
+    for i in range(rounds):
+        dealt = places.where(_part(rounds, "shingle") == i)
+        if hot:
+            dealt = dealt.join(blocks, "shingle", "left").repartition("shingle", F.pmod("key", F.coalesce("blocks", F.lit(1)))).drop("blocks")
+        else:
+            dealt = dealt.repartition("shingle")
+        parts.append(written(meet(dealt, False), "meetings"))
+    met = _together(parts)
     known = written(components(links), "roots")
     root = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")).hint("merge")
     apart = met.where("b IS NOT NULL").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
-    more = _similar(apart, lead, docs, row_col, text_col, width)
+    more = _similar(apart, lead, docs, row_col, text_col, width, most)
     # Roots stand for what is linked already, so that there are no more old links than texts beside the new ones.
     roots = written(components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
     many = met.where("b IS NULL").select(F.col("a").alias("shingle"))
@@ -238,23 +278,28 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
         many = many.unionByName(blocks.select("shingle")).distinct()
     many = written(many, "many")
     removed(met)
-    if not many.isEmpty():
-        rest = places.join(F.broadcast(many) if fits(many, BROADCAST_SHINGLES) else many.hint("merge"), "shingle", "left_semi")
-        rest = rest.join(roots.hint("merge"), rest["key"] == roots["node"], "left").select("shingle", "sized", "key", F.coalesce("root", "key").alias("root"))
+    if shared_by_many := many.count():
         words = FOLDED // 64
         xor = lambda i: reduce(Column.bitwiseXOR, [F.get("parities", F.lit(k)) for k in range(i, SKETCH // 64, words)])
         odd = lead.select("key", *[xor(i).alias(f"bits{i}") for i in range(words)])
-        rest = written(rest.join(odd.hint("merge"), "key").select("shingle", "sized", "key", "root", *[f"bits{i}" for i in range(words)]), "often-shared")
-        # Shingles whose texts are all connected are done; the others' texts go to as many pairs of blocks as they have blocks.
-        counts = rest.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        parted = written(counts.select("shingle", F.ceil(F.col("texts") / BLOCK).alias("blocks")), "parted")
-        dealt = rest.join(F.broadcast(parted) if fits(parted, BROADCAST_SHINGLES) else parted.hint("merge"), "shingle")
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("own", F.pmod("key", "blocks"))
-        pair = F.when(F.col("blocks") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
-        dealt = dealt.select(pair.alias("shingle"), *rest.columns[1:]).repartition("shingle")
-        more = _similar(meet(dealt, True), lead, docs, row_col, text_col, width)
-        removed(rest)
-        removed(parted)
+        rounds, parts = max(_pieces(shared_by_many, BROADCAST_SHINGLES), _pieces(PLACE_BYTES * rows, most)), []
+        for i in range(rounds):
+            rest = places.join(F.broadcast(many.where(_part(rounds, "shingle") == i)), "shingle", "left_semi")
+            rest = rest.join(roots.hint("merge"), rest["key"] == roots["node"], "left").select("shingle", "sized", "key", F.coalesce("root", "key").alias("root"))
+            rest = written(rest.join(odd.hint("merge"), "key").select("shingle", "sized", "key", "root", *[f"bits{i}" for i in range(words)]), "often-shared")
+            # Shingles whose texts are all connected are done; the others' texts go to as many pairs of blocks as they have blocks.
+            counts = rest.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+            parted = written(counts.select("shingle", "texts", F.ceil(F.col("texts") / BLOCK).alias("blocks")), "parted")
+            few = F.broadcast(parted.drop("texts")) if fits(parted, BROADCAST_SHINGLES) else parted.drop("texts").hint("merge")
+            dealt = rest.join(few, "shingle")
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("own", F.pmod("key", "blocks"))
+            pair = F.when(F.col("blocks") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")))
+            dealt = dealt.select(pair.alias("shingle"), *rest.columns[1:])
+            turns = _pieces(MET_BYTES * int(parted.agg(F.sum(F.col("texts") * F.col("blocks"))).first()[0] or 0), most)
+            parts += [written(meet(dealt.where(_part(turns, "shingle", salt="turn") == k).repartition("shingle"), True), "meetings") for k in range(turns)]
+            removed(rest)
+            removed(parted)
+        more = _similar(_together(parts), lead, docs, row_col, text_col, width, most)
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     linked = distinct.join(roots.hint("merge"), distinct["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
