@@ -128,3 +128,43 @@ def test_numbers_of_rows(spark):
     assert sorted(map(tuple, told.collect())) == sorted(map(tuple, told.repartition(3).collect()))
     assert common.numbered(docs.where("id < 7"), "n").select("n").distinct().count() == 7
     assert common.numbered(docs.limit(0), "n").isEmpty()
+
+
+@pytest.mark.parametrize("n", [6, 24])
+def test_texts_are_read_once_however_many(spark, monkeypatch, n):
+    """A call compares all its pairs in one reading of the texts, also if they are far more than a broadcast may name."""
+    docs = c.written(spark.createDataFrame(list(enumerate(texts(5, n))), "doc_id long, text string").repartition(3), "docs")
+    for name, value in (("BROADCAST_ROWS", 4), ("BROADCAST_SHINGLES", 4), ("ROUND_BYTES", 1 << 10), ("SMALL", 2)):
+        monkeypatch.setattr(s, name, value)
+    calls, readings, similar = [], [], s._similar
+    monkeypatch.setattr(s, "_similar", lambda *a: calls.append(a) or similar(*a))
+    monkeypatch.setattr(s, "written", lambda df, name, **o: readings.append(name) or written(df, name, **o))
+    simhash.group_near_copies(common.numbered(docs, "row"), width=5, similarity=True, row_col="row")
+    assert len(calls) == readings.count("similar") == 3
+
+
+def test_units_of_large_groups(spark, monkeypatch):
+    """Groups of more texts, or longer ones, than a unit takes are dealt by pairs of blocks; each text goes where its pairs go."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[: 5 * i], f"x{i}", *words[5 * i + 1 :]])) for i in range(12)] + [(90, " ".join(f"v{i}" for i in range(60)))]
+    told = c.written(spark.createDataFrame(rows, "row long, text string"), "told")
+    sets = {i: s.shingles(t.encode())[1] for i, t in rows}
+    lead = spark.createDataFrame([(100 + i, i, len(x), s.parities(x).tolist()) for i, x in sets.items()], "key long, row long, n long, parities array<long>")
+    pairs = [(100 + i, 100 + j) for i in sets for j in sets if i < j]
+    common_n = lambda a, b: len(set(sets[a - 100].tolist()) & set(sets[b - 100].tolist()))
+    right = [(a, b) for a, b in pairs if 5 * common_n(a, b) >= 4 * (len(sets[a - 100]) + len(sets[b - 100]) - common_n(a, b))]
+    assert right and len(right) < len(pairs)
+    for texts_of, shingles_of, most, rows_few in ((64, 1 << 20, 1 << 20, 100), (3, 1 << 20, 1 << 20, 100), (64, 120, 2000, 2)):
+        for name, value in (("UNIT_TEXTS", texts_of), ("UNIT_SHINGLES", shingles_of), ("BROADCAST_ROWS", rows_few)):
+            monkeypatch.setattr(s, name, value)
+        got = s._similar(spark.createDataFrame(pairs, "a long, b long"), lead, told, "row", "text", 5, most)
+        assert sorted(map(tuple, got.collect())) == right
+
+
+def test_rows_found_by_marks(spark, monkeypatch):
+    numbers = [-(1 << 40), -32769, -5, 0, 7, 8, 32767, 32768, (3 << 33) + 9]
+    told = spark.createDataFrame([(x + d, str(x)) for x in numbers[:5] + numbers[6:] for d in (0, 1 << 20)], "row long, text string")
+    rows = c.written(spark.createDataFrame([(x,) for x in numbers], "row long"), "wanted")
+    for few, marks in ((True, 4096), (False, 4096), (False, 1)):
+        monkeypatch.setattr(s, "MARKS", marks)
+        assert sorted(r.row for r in s._found(told, rows, "row", few).collect()) == sorted({x for x in numbers if x != 8})

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import fits, fresh, in_batches, removed, written
 from .graph import components
@@ -37,9 +37,12 @@ SAMPLE, FREQUENT, TOLD = 20_000, 3, 1 << 16
 SMALL, AHEAD, STEP = 4, 2, 1 << 20
 #: Texts of one shingle that meet in a task at first, half of those that meet later.
 BLOCK = 16_384
-#: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each); more take
-#: more rounds.
+#: Texts to compare up to which their keys go to the executors (16 bytes each), and shared shingles (8 bytes each).
 BROADCAST_ROWS, BROADCAST_SHINGLES = 500_000, 500_000
+#: Of more texts to compare, the rows that a bitmap of 4 KB marks, as Spark makes it, and bitmaps that go to the executors at most.
+ROWS_OF_MARK, MARKS = 1 << 15, 4096
+#: Texts, and shingles of theirs, up to which a label's sets are compared in one place.
+UNIT_TEXTS, UNIT_SHINGLES = 64, 1 << 20
 #: Bytes that a round may put on disk in small tables, and those of a shuffled place of a shingle, alone and with parities.
 ROUND_BYTES, PLACE_BYTES, MET_BYTES = 64 << 20, 24, 64
 #: Bits of the sketch by which pairs are sieved before their sets are fetched, and of its folded form for often shared shingles.
@@ -156,9 +159,47 @@ def _together(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _found(told: DataFrame, rows: DataFrame, row: str, few: bool) -> DataFrame:
+    """The rows of told that the column row of rows names. Up to BROADCAST_ROWS the numbers themselves go to the executors; more
+    go as bitmaps of ROWS_OF_MARK rows each, up to MARKS of them, so that told is read once and not shuffled. Only numbers that
+    lie too far apart for that are joined by merging."""
+    if few:
+        return told.join(F.broadcast(rows), row, "left_semi")
+    mark, bits = fresh(told, "mark", "bits")
+    of = F.shiftright(row, ROWS_OF_MARK.bit_length() - 1)
+    if not fits(rows.select(of).distinct(), MARKS):
+        return told.join(rows.hint("merge"), row, "left_semi")
+    at = F.col(row).bitwiseAND(ROWS_OF_MARK - 1)
+    marks = written(rows.groupBy(of.alias(mark)).agg(F.bitmap_construct_agg(at).alias(bits)), "marks")
+    byte = F.conv(F.hex(F.substr(bits, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.expr(f"shiftright({{}}, {{}})") if False else byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), at.bitwiseAND(7).cast("int") + 1)) != 0
+    return told.withColumn(mark, of).join(F.broadcast(marks), mark).where(held).select(*told.columns)
+
+
+def _dealt(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the unit in which they are compared. Texts that pairs connect in a few steps have one label, and
+    texts of one label are a unit if they are few; of more, each two blocks are one. A wrong label costs bytes only, as both
+    texts of a pair go to its unit whatever it is."""
+    ends = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("key"), F.col("a").alias("other")))
+    low = ends.groupBy("key").agg(F.least("key", F.min("other")).alias("label"))
+    low = ends.join(low.withColumnRenamed("key", "other").hint("merge"), "other").groupBy("key").agg(F.min("label").alias("label"))
+    low = written(low.join(named.select("key", "n").hint("merge"), "key"), "labels")
+    sized = low.groupBy("label").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("bytes"))
+    blocks = F.when((F.col("texts") <= UNIT_TEXTS) & (F.col("bytes") <= UNIT_SHINGLES), 1).otherwise(F.ceil(F.greatest(2 * F.col("texts") / UNIT_TEXTS, 2 * F.col("bytes") / UNIT_SHINGLES)))
+    own = low.join(sized.select("label", blocks.alias("blocks")).hint("merge"), "label").select("key", F.xxhash64("label", F.pmod(F.xxhash64("key", F.lit("block")), "blocks")).alias("block"))
+    own = written(own, "blocks")
+    of = lambda x: own.select(F.col("key").alias(x), F.col("block").alias(f"of_{x}")).hint("merge")
+    unit = F.xxhash64(F.least("of_a", "of_b"), F.greatest("of_a", "of_b"))
+    dealt = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", unit.alias("unit")), "dealt")
+    for done in (low, own):
+        removed(done)
+    return dealt
+
+
 def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text: str, width: int, most: int) -> DataFrame:
-    """Those of the pairs (a, b) of keys whose whole sets are similar. The sets of a round's pairs come to about `most` bytes,
-    and its texts are few enough to be named by broadcast, so that no text is ever shuffled."""
+    """Those of the pairs (a, b) of keys whose whole sets are similar. Each text is read once, no text is ever shuffled, and its
+    set goes once to each unit of pairs that names it, which mostly is one. Only sets that come to more than `most` bytes go in
+    rounds, as many as that is times `most`, however large the table."""
     # A pair may come both ways round. Only the texts that pairs name are looked at from here on.
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "proposed")
     keys = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
@@ -167,43 +208,49 @@ def _similar(pairs: DataFrame, lead: DataFrame, told: DataFrame, row: str, text:
     both_n = F.col("of_a.n") + F.col("of_b.n")
     apart = sum((F.bit_count(F.col("of_a.parities")[i].bitwiseXOR(F.col("of_b.parities")[i])) for i in range(SKETCH // 64)), F.lit(0))
     possible = apart <= both_n - 2 * F.ceil(both_n * TOP / (TOP + BOTTOM) - 1e-6)
-    proposed, pairs = pairs, written(pairs.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b", both_n.alias("n")), "pairs")
+    proposed, pairs = pairs, written(pairs.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b"), "pairs")
     for done in (proposed, keys):
         removed(done)
+    dealt = _dealt(pairs, named)
+    sent = dealt.select(F.explode(F.array("a", "b")).alias("key"), "unit").groupBy("key").agg(F.collect_set("unit").alias("units"))
+    wanted = written(sent.join(named.select("key", row, "n").hint("merge"), "key"), "wanted")
+    for done in (named, pairs):
+        removed(done)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = pa.array([shingles(x.as_py() or b"", width)[1] for x in batch.column(2)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own], names=["key", "others", "own"])
+            own = pa.array([shingles(x.as_py() or b"", width)[1] for x in batch.column(1)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), own], names=[row, "own"])
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each pair has two rows, one after the other, maybe in two batches."""
-        held = None
+        """A unit's sets, then its pairs."""
+        unit, held = None, {}
         for batch in batches:
-            a, b = (batch.column(k).to_numpy() for k in (0, 1))
-            good = np.zeros(batch.num_rows, bool)
+            good = []
             for i in range(batch.num_rows):
-                v = batch.column(2)[i].values.to_numpy()
-                if held is None or held[0] != (a[i], b[i]):
-                    held = (a[i], b[i]), v
+                if (at := batch.column(0)[i].as_py()) != unit:
+                    unit, held = at, {}
+                if batch.column(1)[i].is_valid:
+                    held[batch.column(1)[i].as_py()] = batch.column(2)[i].values.to_numpy()
                     continue
-                u, held = held[1], None
-                common = len(np.intersect1d(u, v, assume_unique=True))
-                good[i] = BOTTOM * common >= TOP * (len(u) + len(v) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], names=["a", "b"])
-
-    number, size = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    rounds, parts = max(_pieces(2 * number, BROADCAST_ROWS), _pieces(8 * size, most)), []
+                for a, b in zip(*(batch.column(k)[i].values.to_pylist() for k in (3, 4))):
+                    u, v = held[a], held[b]
+                    common = len(np.intersect1d(u, v, assume_unique=True))
+                    if BOTTOM * common >= TOP * (len(u) + len(v) - common):
+                        good.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in good], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    size, few = wanted.agg(F.coalesce(F.sum(F.col("n") * F.size("units")), F.lit(0))).first()[0], fits(wanted, BROADCAST_ROWS)
+    rounds, parts = _pieces(8 * size, most), []
     for i in range(rounds):
-        ends = pairs.where(_part(rounds, "a", "b") == i).select(F.explode(F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("other")), F.struct(F.col("b").alias("key"), F.col("a").alias("other")))).alias("x"))
-        others = ends.groupBy(F.col("x.key").alias("key")).agg(F.collect_list("x.other").alias("others"))
-        wanted = written(others.join(named.select("key", row).hint("merge"), "key"), "wanted")
-        texts = told.select(row, F.col(text).cast("binary").alias("text")).join(F.broadcast(wanted), row).select("key", "others", "text")
-        known = texts.transform(in_batches, sets, "key long, others array<long>, own array<long>").select("key", F.explode("others").alias("other"), "own")
-        both = known.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"), "own").repartition("a", "b").sortWithinPartitions("a", "b")
-        parts.append(written(both.transform(in_batches, checked, "a long, b long"), "similar"))
-        removed(wanted)
-    for done in (named, pairs):
+        now = wanted if rounds == 1 else wanted.withColumn("units", F.filter("units", lambda x: F.pmod(F.xxhash64(x, F.lit("round")), F.lit(rounds)) == i)).where(F.size("units") > 0)
+        found = _found(told.select(row, F.col(text).cast("binary").alias("text")), now.select(row), row, few)
+        known = found.select(row, "text").transform(in_batches, sets, StructType().add(row, "long").add("own", ArrayType(LongType())))
+        known = known.join(F.broadcast(now) if few else now.hint("shuffle_hash"), row).select(F.explode("units").alias("unit"), "key", "own")
+        asked = dealt.where(_part(rounds, "unit") == i).groupBy("unit").agg(F.collect_list(F.struct("a", "b")).alias("of")).select("unit", F.col("of.a").alias("a"), F.col("of.b").alias("b"))
+        both = known.unionByName(asked, allowMissingColumns=True).repartition("unit").sortWithinPartitions("unit", F.col("key").isNull())
+        parts.append(written(both.select("unit", "key", "own", "a", "b").transform(in_batches, checked, "a long, b long"), "similar"))
+    for done in (wanted, dealt):
         removed(done)
     return _together(parts)
 
@@ -241,8 +288,10 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     headed = written(hashed.select(row_col, F.col(n).alias("n"), F.col(key).alias("key"), F.col(lead_of).alias("leading")).join(lead.select(row_col).hint("merge"), row_col, "left_semi").drop(row_col), "leading")
     printed = written(hashed.select(*kept, print_col, key), "printed")
     removed(hashed)
-    # A quarter of the bytes of all sets, or more for small tables: what a round may put on disk.
-    most = max(ROUND_BYTES, 2 * (lead.agg(F.sum("n")).first()[0] or 0))
+    # A quarter of the bytes of all sets, or more for small tables: what a round of meetings may put on disk. Sets to compare may
+    # be as many bytes as all are, each text's once, so that texts are read once.
+    total = lead.agg(F.sum("n")).first()[0] or 0
+    most, whole = max(ROUND_BYTES, 2 * total), max(ROUND_BYTES, 8 * total)
     rows = headed.agg(F.sum(F.size("leading"))).first()[0] or 0
 
     # What the forest links: texts of one fingerprint with the first of them, and the first ones of linked fingerprints.
@@ -251,7 +300,7 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     of = lambda x: firsts.select(F.col("print").alias(x), F.col("first").alias(f"first_{x}")).hint("merge")
     proposed = near.join(of("a"), "a").join(of("b"), "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
     proposed = proposed.unionByName(lead.join(firsts.hint("merge"), "print").select(F.col("first").alias("a"), F.col("key").alias("b"))).where("a != b")
-    links = _similar(proposed, lead, docs, row_col, text_col, width, most)
+    links = _similar(proposed, lead, docs, row_col, text_col, width, whole)
 
     # The set join: shingles of few texts at once, those of many texts by broadcast if they are few themselves.
     places = headed.select("n", "key", F.posexplode("leading").alias("place", "shingle"))
@@ -270,7 +319,7 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
     known = written(components(links), "roots")
     root = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")).hint("merge")
     apart = met.where("b IS NOT NULL").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
-    more = _similar(apart, lead, docs, row_col, text_col, width, most)
+    more = _similar(apart, lead, docs, row_col, text_col, width, whole)
     # Roots stand for what is linked already, so that there are no more old links than texts beside the new ones.
     roots = written(components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
     many = met.where("b IS NULL").select(F.col("a").alias("shingle"))
@@ -282,9 +331,10 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
         words = FOLDED // 64
         xor = lambda i: reduce(Column.bitwiseXOR, [F.get("parities", F.lit(k)) for k in range(i, SKETCH // 64, words)])
         odd = lead.select("key", *[xor(i).alias(f"bits{i}") for i in range(words)])
-        rounds, parts = max(_pieces(shared_by_many, BROADCAST_SHINGLES), _pieces(PLACE_BYTES * rows, most)), []
+        rounds, parts = _pieces(PLACE_BYTES * rows, most), []
         for i in range(rounds):
-            rest = places.join(F.broadcast(many.where(_part(rounds, "shingle") == i)), "shingle", "left_semi")
+            often = many.where(_part(rounds, "shingle") == i)
+            rest = places.where(_part(rounds, "shingle") == i).join(F.broadcast(often) if shared_by_many <= BROADCAST_SHINGLES else often.hint("merge"), "shingle", "left_semi")
             rest = rest.join(roots.hint("merge"), rest["key"] == roots["node"], "left").select("shingle", "sized", "key", F.coalesce("root", "key").alias("root"))
             rest = written(rest.join(odd.hint("merge"), "key").select("shingle", "sized", "key", "root", *[f"bits{i}" for i in range(words)]), "often-shared")
             # Shingles whose texts are all connected are done; the others' texts go to as many pairs of blocks as they have blocks.
@@ -299,7 +349,7 @@ def group_similar(docs: DataFrame, row_col: str, print_col: str, id_col: str = "
             parts += [written(meet(dealt.where(_part(turns, "shingle", salt="turn") == k).repartition("shingle"), True), "meetings") for k in range(turns)]
             removed(rest)
             removed(parted)
-        more = _similar(_together(parts), lead, docs, row_col, text_col, width, most)
+        more = _similar(_together(parts), lead, docs, row_col, text_col, width, whole)
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     linked = distinct.join(roots.hint("merge"), distinct["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
